@@ -33,6 +33,12 @@ def _labelled(spark: SparkSession, sf: str) -> DataFrame:
     return fixtures.labelled(spark, sf)
 
 
+def prepare(spark: SparkSession, sf: str) -> None:
+    """Write the derived input tables ahead of the queries."""
+    _docs(spark, sf)
+    _labelled(spark, sf)
+
+
 def _cleaned(df: DataFrame, stopwords: Iterable[str] = ()) -> DataFrame:
     return with_cleaned(df, stopwords=stopwords)
 

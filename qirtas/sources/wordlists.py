@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from qirtas.functions.tokens import remove_stopwords, tokenize
+
 # Above this many words a list is joined instead of being put into the plan.
 MAX_LITERAL_WORDS = 20_000
 
@@ -23,3 +25,25 @@ def literal_words(words: DataFrame, limit: int = MAX_LITERAL_WORDS) -> frozenset
     """The list as a Python set when it has at most ``limit`` words, else None."""
     rows = words.limit(limit + 1).collect()
     return None if len(rows) > limit else frozenset(r[0] for r in rows)
+
+
+def drop_words(
+    df: DataFrame, key: str, cleaned: str, words: DataFrame, limit: int = MAX_LITERAL_WORDS
+) -> DataFrame:
+    """key and ``cleaned`` without the listed words; rows left empty go.
+
+    A short list becomes a hash set inside the expression: no shuffle.  A longer
+    one is anti-joined token by token; the texts are put together again in
+    order, one row per document.
+    """
+    listed = literal_words(words, limit)
+    if listed is not None:
+        kept = F.array_join(remove_stopwords(tokenize(cleaned), listed), " ")
+        return df.select(key, F.explode(F.array_remove(F.array(kept), "")).alias(cleaned))
+    tokens = df.select(key, F.posexplode(tokenize(cleaned)).alias("pos", "word"))
+    return (
+        tokens.join(words, "word", "left_anti")
+        .groupBy(key)
+        .agg(F.sort_array(F.collect_list(F.struct("pos", "word"))).alias("kept"))
+        .select(key, F.array_join("kept.word", " ").alias(cleaned))
+    )
