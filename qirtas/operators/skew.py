@@ -9,8 +9,8 @@ from qirtas.storage import materialize
 
 # At most this many lookup rows are broadcast, each with a key of at most
 # HOT_KEY_CHARS characters: a fixed bound that does not grow with the data.
-HOT_ROWS = 50_000
-HOT_KEY_CHARS = 256
+HOT_ROWS = 200_000
+HOT_KEY_CHARS = 64
 
 
 def join_lookup(

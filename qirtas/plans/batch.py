@@ -9,7 +9,8 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 
 from pyspark.ml import Estimator, Model
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.classification import MultilayerPerceptronClassifier
+from pyspark.sql import DataFrame
 
 from qirtas.functions.lexicons import TOP_WORDS
 from qirtas.operators import models as md
@@ -19,6 +20,8 @@ from qirtas.operators.vectors import assemble, fit_tfidf
 from qirtas.sources.tables import read_table, write_table
 from qirtas.storage import fresh_path
 
+ROWS_PER_FIT_TASK = 20_000
+
 
 def process(
     raw: DataFrame, path: str, stopwords: Iterable[str] = (), stem: bool = True
@@ -54,7 +57,26 @@ def write_training_rows(features: DataFrame, key: str) -> DataFrame:
 
 
 def fit(estimator: Callable[[], Estimator], rows: DataFrame) -> Model:
-    return estimator().fit(rows.filter("split = 'train'").select("label_idx", "features"))
+    """Fit on the training part, with tasks of a size that suits the model.
+
+    Each iteration is a job of its own.  The linear models and the forest spend
+    microseconds per row, so near-empty tasks cost more than they compute and
+    small splits are merged.  The network spends milliseconds per row, so a
+    table with fewer splits than cores is spread.  A large table has enough full
+    splits and keeps them in both cases.
+    """
+    model = estimator()
+    train = rows.filter("split = 'train'").select("label_idx", "features")
+    network = isinstance(model, MultilayerPerceptronClassifier)
+    per_task = model.getBlockSize() if network else ROWS_PER_FIT_TASK
+    wanted = max(-(-train.count() // per_task), 1)
+    splits = train.rdd.getNumPartitions()
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    if wanted < splits:
+        train = train.coalesce(wanted)
+    elif network and splits < cores:
+        train = train.repartition(min(wanted, cores))
+    return model.fit(train)
 
 
 def select_best(
@@ -68,20 +90,3 @@ def select_best(
     best = md.best_model(md.compare(fitted, rows.filter(f"split = '{select_on}'")))
     md.save_model(fitted[best.first()["model"]], path)
     return best
-
-
-def run(
-    spark: SparkSession,
-    raw_path: str,
-    out: str,
-    key: str,
-    stopwords: Iterable[str] = (),
-    lexicon: Iterable[str] = TOP_WORDS,
-) -> DataFrame:
-    """The whole chain over a raw table; returns the comparison of the three models."""
-    processed = process(read_table(spark, raw_path), f"{out}/processed", stopwords)
-    features = write_features(processed, key, f"{out}/features", lexicon)
-    rows = write_training_rows(features, key)
-    fitted = {name: fit(estimator, rows) for name, estimator in md.COMPARED.items()}
-    select_best(fitted, rows, f"{out}/best_model")
-    return md.compare(fitted, rows.filter("split = 'test'"))

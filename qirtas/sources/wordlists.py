@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from qirtas.functions.tokens import remove_stopwords, tokenize
+from qirtas.operators.skew import HOT_ROWS, join_lookup
+from qirtas.storage import materialize
 
 # Above this many words a list is joined instead of being put into the plan.
 MAX_LITERAL_WORDS = 20_000
@@ -28,21 +30,32 @@ def literal_words(words: DataFrame, limit: int = MAX_LITERAL_WORDS) -> frozenset
 
 
 def drop_words(
-    df: DataFrame, key: str, cleaned: str, words: DataFrame, limit: int = MAX_LITERAL_WORDS
+    df: DataFrame,
+    key: str,
+    cleaned: str,
+    words: DataFrame,
+    limit: int = MAX_LITERAL_WORDS,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """key and ``cleaned`` without the listed words; rows left empty go.
 
     A short list becomes a hash set inside the expression: no shuffle.  A longer
-    one is anti-joined token by token; the texts are put together again in
-    order, one row per document.
+    one is looked up token by token, where frequent tokens meet a broadcast part
+    of the vocabulary and stay where they are; then the texts are put together
+    again in order, one row per document.
     """
     listed = literal_words(words, limit)
     if listed is not None:
         kept = F.array_join(remove_stopwords(tokenize(cleaned), listed), " ")
         return df.select(key, F.explode(F.array_remove(F.array(kept), "")).alias(cleaned))
-    tokens = df.select(key, F.posexplode(tokenize(cleaned)).alias("pos", "word"))
+    tokens = materialize(
+        df.select(key, F.posexplode(tokenize(cleaned)).alias("pos", "word")), "tokens"
+    )
+    vocabulary = tokens.groupBy("word").agg(F.count("*").alias("n"))
+    marked = vocabulary.join(words.withColumn("listed", F.lit(True)), "word", "left")
     return (
-        tokens.join(words, "word", "left_anti")
+        join_lookup(tokens, materialize(marked, "vocabulary"), "word", "n", hot_rows)
+        .filter(F.col("listed").isNull())
         .groupBy(key)
         .agg(F.sort_array(F.collect_list(F.struct("pos", "word"))).alias("kept"))
         .select(key, F.array_join("kept.word", " ").alias(cleaned))

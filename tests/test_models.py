@@ -4,6 +4,7 @@ The texts are invented, so quality figures mean nothing here.
 """
 
 import pytest
+from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.sql import functions as F
 
 from qirtas.operators import metrics, vectors
@@ -79,12 +80,18 @@ def test_small_feed_forward_and_svm(chain):
         assert all(0.0 <= v <= 1.0 for v in scores.values())
 
 
-def test_evaluators_agree_with_the_aggregates(chain, fitted):
-    scored = fitted["Logistic Regression"].transform(chain[3])
-    scores = metrics.evaluate(scored)
-    own = metrics.class_metrics(scored, "label_idx").first()
-    assert own["accuracy"] == pytest.approx(scores["accuracy"])
-    assert own["weighted_f1"] == pytest.approx(scores["f1"])
+def test_evaluation_equals_mllib(chain, fitted):
+    for model in fitted.values():
+        scored = model.transform(chain[3])
+        scores = metrics.evaluate(scored)
+        multi = MulticlassClassificationEvaluator(labelCol="label_idx", predictionCol="prediction")
+        for own, name in [
+            ("accuracy", "accuracy"),
+            ("f1", "f1"),
+            ("precision", "weightedPrecision"),
+            ("recall", "weightedRecall"),
+        ]:
+            assert scores[own] == pytest.approx(multi.evaluate(scored, {multi.metricName: name}))
 
 
 def test_importances(spark, fitted):
