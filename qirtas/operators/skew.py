@@ -18,6 +18,7 @@ def join_lookup(
 ) -> DataFrame:
     """``facts`` joined to ``lookup`` (unique ``key``; ``weight`` = its rows in facts).
 
+    Both are read several times, so pass written tables.
     The heaviest keys are broadcast, so their rows never move.  What is left is
     shuffled; there no short key has more than a ``1 / hot_rows`` share of the
     facts, and adaptive execution splits what a very long key may still pile up.

@@ -48,9 +48,9 @@ def write_features(
     return read_table(processed.sparkSession, path)
 
 
-def write_training_rows(features: DataFrame, key: str) -> DataFrame:
+def write_training_rows(features: DataFrame, key: str, path: str | None = None) -> DataFrame:
     """Only what the iterative fits need: key, label, index, assembled vector, split."""
-    path = fresh_path(features.sparkSession, "assembled")
+    path = path or fresh_path(features.sparkSession, "assembled")
     rows = assemble(features).select(key, "label", "label_idx", "features", "split")
     write_table(rows, path, partition_by=("split",))
     return read_table(features.sparkSession, path)

@@ -16,7 +16,7 @@ from qirtas.operators.features import with_cleaned, with_features
 from qirtas.operators.split import assign_split, split_bucket
 from qirtas.plans import batch
 from qirtas.sources import fixtures, messages, tables, wordlists
-from qirtas.storage import fresh_path, materialize_once
+from qirtas.storage import fresh_path
 from qirtas.streaming import scoring
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -299,18 +299,20 @@ def hashed_tf(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+_paths: dict[tuple[str, str, str], str] = {}
+
+
 def _feature_table(spark: SparkSession, sf: str) -> DataFrame:
     """Features, vectors and split of the labelled documents, written once."""
-
-    def build() -> DataFrame:
+    key = (spark.sparkContext.applicationId, sf, "features")
+    if key not in _paths:
         processed = batch.process(
             _labelled(spark, sf), fresh_path(spark, "processed"), fixtures.STOPWORDS
         )
-        return batch.write_features(
-            processed, "doc_id", fresh_path(spark, "features"), fixtures.BATCH_LEXICON
-        )
-
-    return materialize_once(spark, f"{sf}/feature-table", build)
+        path = fresh_path(spark, "features")
+        batch.write_features(processed, "doc_id", path, fixtures.BATCH_LEXICON)
+        _paths[key] = path
+    return tables.read_table(spark, _paths[key])
 
 
 def tfidf_vectors(spark: SparkSession, sf: str) -> DataFrame:
@@ -350,11 +352,12 @@ _MODELS = {**md.COMPARED, "Feed Forward": md.feed_forward}
 
 
 def _training_rows(spark: SparkSession, sf: str) -> DataFrame:
-    return materialize_once(
-        spark,
-        f"{sf}/training-rows",
-        lambda: batch.write_training_rows(_feature_table(spark, sf), "doc_id"),
-    )
+    key = (spark.sparkContext.applicationId, sf, "training")
+    if key not in _paths:
+        path = fresh_path(spark, "training")
+        batch.write_training_rows(_feature_table(spark, sf), "doc_id", path)
+        _paths[key] = path
+    return tables.read_table(spark, _paths[key])
 
 
 def _model(spark: SparkSession, sf: str, name: str) -> Model:

@@ -14,6 +14,7 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 _SETTING = "spark.checkpoint.dir"
 
@@ -30,7 +31,13 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new path under the folder of this application.
+
+    Written tables stay until that folder is removed after the run: a result
+    may still be read lazily when the function that wrote its input returns.
+    """
+    application = spark.sparkContext.applicationId
+    return f"{shared_folder(spark)}/{application}/{name}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -41,6 +48,21 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_written: dict[tuple[str, str], tuple[str, StructType]] = {}
+
+
+def materialize_once(spark: SparkSession, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """Like ``materialize``, but one written table per application and name."""
+    key = (spark.sparkContext.applicationId, name)
+    if key not in _written:
+        df = build()
+        path = fresh_path(spark, name.rsplit("/", 1)[-1])
+        df.write.parquet(path)
+        _written[key] = (path, df.schema)
+    path, schema = _written[key]
+    return spark.read.schema(schema).parquet(path)
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Repartition by key when the scan has fewer splits than the cluster has cores.
 
@@ -52,14 +74,3 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     if df.rdd.getNumPartitions() >= cores:
         return df
     return df.repartition(cores, *keys)
-
-
-_written: dict[tuple[str, str], DataFrame] = {}
-
-
-def materialize_once(spark: SparkSession, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-    """Like ``materialize``, but one written table per application and name."""
-    key = (spark.sparkContext.applicationId, name)
-    if key not in _written:
-        _written[key] = materialize(build(), name.rsplit("/", 1)[-1])
-    return _written[key]

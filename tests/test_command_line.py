@@ -38,7 +38,7 @@ def test_stages(spark, small, tmp_path, capsys):
 
     main(["encode", "--table", at("keyed"), "--key", "k", "--rows", "10", "--out", at("messages")])
     main(["stream", "--input", at("messages"), "--checkpoint", at("offsets"),
-          "--out", at("scored"), "--seconds", "15"])
+          "--out", at("scored"), "--seconds", "8"])
     scored = spark.read.parquet(at("scored"))
     assert sorted(r["id"] for r in scored.collect()) == list(range(10))
     assert "avg_ttr" in capsys.readouterr().out
