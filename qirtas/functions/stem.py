@@ -70,48 +70,59 @@ def _trie(words: list[str]) -> str:
     return "(?:" + "|".join(branches) + ")" + ("?" if optional else "")
 
 
-def _stage(patterns: list[str]) -> tuple[str, str]:
-    """Ordered patterns of one word length as (regex, replacement)."""
-    groups = length = 0
-    alternatives = []
-    for pattern in patterns:
-        regex, length = "", 0
-        for part in re.findall(r"\(\.\)|\.+|\[[^]]*\]|.", pattern):
-            letters = part.count(".") or 1
-            length += letters
-            if "." in part:
-                groups += 1
-                regex += "(" + _LETTER * letters + ")"
-            elif part == "=":
-                regex += f"\\{groups}"
-            else:
-                regex += part
-        alternatives.append(regex)
-    body = "|".join(alternatives)
+def _stage(*lengths: list[str]) -> tuple[str, str]:
+    """Ordered patterns as (regex, replacement); each list holds one word length."""
+    groups = 0
+    by_length = []
+    for patterns in lengths:
+        size = 0
+        alternatives = []
+        for pattern in patterns:
+            regex, size = "", 0
+            for part in re.findall(r"\(\.\)|\.+|\[[^]]*\]|.", pattern):
+                letters = part.count(".") or 1
+                size += letters
+                if "." in part:
+                    groups += 1
+                    regex += "(" + _LETTER * letters + ")"
+                elif part == "=":
+                    regex += f"\\{groups}"
+                else:
+                    regex += part
+            alternatives.append(regex)
+        body = "|".join(alternatives)
+        by_length.append(f"(?={_LETTER}{{{size}}}{_END})(?:{body})")
     kept = "".join(f"${g}" for g in range(1, groups + 1))
-    return f" (?={_LETTER}{{{length}}}{_END})(?:{body})", f" {kept}"
+    return f" (?:{'|'.join(by_length)})", f" {kept}"
 
 
-# Order matters.  Each stage matches words of one length only, so a word that an
-# earlier stage shortened meets exactly the stages meant for its new length.
-_STAGES: list[tuple[str, str]] = [
+_HAMZA = (" [آأإ]", " ا")
+
+# Order matters.  Each stage matches words of its own lengths only, so a word
+# that an earlier stage shortened meets exactly the stages meant for its new
+# length.  The last stage ends the work on a word, whatever its length, so its
+# three lists share one scan.
+_AFFIXES: list[tuple[str, str]] = [
     (f" ({_trie(KEPT_WORDS)}{_END})", f"{_MARK}$1"),
     (f" {_trie(LONG_PREFIXES)}(?={_LETTER}{{3}})", " "),
     (f" ({_LETTER}{{3,}}?){_trie(LONG_SUFFIXES)}{_END}", " $1"),
     (f" و(?=و{_LETTER}{{2}})", " "),
-    (" [آأإ]", " ا"),
+]
+_PATTERNS: list[tuple[str, str]] = [
     _stage(SEVEN),
     _stage(SIX),
     _stage(FIVE),
-    _stage(FOUR),
-    _stage(FIVE_TO_FOUR),
-    _stage(SIX_TO_FOUR),
+    _stage(FOUR, FIVE_TO_FOUR, SIX_TO_FOUR),
 ]
 
 
-def stem_text(cleaned: Column) -> Column:
-    """Stem every word of a cleaned, space-separated text (or a single word)."""
+def stem_text(cleaned: Column, folded: bool = True) -> Column:
+    """Stem every word of a cleaned, space-separated text (or a single word).
+
+    ``folded=False`` also turns a leading alef with hamza or madda into a bare
+    alef, which the cleaner has done already.
+    """
     text = F.concat(F.lit(" "), cleaned)
-    for regex, replacement in _STAGES:
+    for regex, replacement in [*_AFFIXES, *([] if folded else [_HAMZA]), *_PATTERNS]:
         text = F.regexp_replace(text, regex, replacement)
     return F.trim(F.translate(text, _MARK, " "))
