@@ -44,6 +44,7 @@ def test_query_equals_sql(spark, duck, small, name):
     cursor = duck.execute(ORACLES[name])
     columns = [c[0] for c in cursor.description]
     assert sorted(df.columns) == sorted(columns)
+    assert "EvalPython" not in df._jdf.queryExecution().executedPlan().toString()
     expected = _rows(columns, cursor.fetchall())
     assert expected, "an empty result checks nothing"
     assert _rows(df.columns, df.collect()) == expected
@@ -54,6 +55,26 @@ def test_model_queries_run(spark, small, name):
     assert QUERIES[name](spark, small).count() > 0
 
 
+@pytest.mark.parametrize(
+    "name, columns",
+    [
+        ("label_counts", "label:string"),
+        ("source_counts", "source_model:string"),
+        ("ttr_by_label", "text:string,label:string"),
+        ("split_counts", "doc_id:bigint"),
+        ("word_count_top", "text:string"),
+    ],
+)
+def test_scans_read_only_what_they_need(spark, small, name, columns):
+    plan = QUERIES[name](spark, small)._jdf.queryExecution().executedPlan().toString()
+    assert f"ReadSchema: struct<{columns}>" in plan
+
+
+def test_top_k_is_not_a_full_sort(spark, small):
+    plan = QUERIES["word_count_top"](spark, small)._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject" in plan and "partial_count" in plan
+
+
 def test_entry(spark):
     rows = {r["label"]: r["avg_ttr"] for r in contract.entry(spark).collect()}
     assert set(rows) == {"ai", "human"} and all(0 < v < 1 for v in rows.values())
