@@ -20,16 +20,28 @@ def join_lookup(
 
     Both are read several times, so pass written tables.
     The heaviest keys are broadcast, so their rows never move.  What is left is
-    shuffled; there no short key has more than a ``1 / hot_rows`` share of the
+    shuffled; there no short key has more than a ``2 / hot_rows`` share of the
     facts, and adaptive execution splits what a very long key may still pile up.
+
+    The cutoff is the smallest power of two that at most ``hot_rows`` keys reach.
+    It comes from a histogram of the weights by bit length, which has a fixed
+    number of rows; a sorted top-n would pass through one task.
     """
-    short = lookup.filter(F.length(key) <= HOT_KEY_CHARS)
-    hot = short.orderBy(F.desc(weight), key).limit(hot_rows)
-    hot = materialize(hot, "hot-keys")
+    short = F.length(key) <= HOT_KEY_CHARS
+    bits = F.length(F.bin(F.col(weight).cast("long")))
+    histogram = lookup.groupBy(short.alias("short"), bits.alias("bits")).count().collect()
+    keys = sum(row["count"] for row in histogram)
+    by_bits = {row["bits"]: row["count"] for row in histogram if row["short"]}
+    cutoff, size = 1 << 62, 0
+    for n in range(62, 0, -1):
+        if size + by_bits.get(n, 0) > hot_rows:
+            break
+        cutoff, size = 1 << (n - 1), size + by_bits.get(n, 0)
+    hot = lookup.filter(short & (F.col(weight) >= cutoff))
     mapped = facts.join(F.broadcast(hot), key)
-    cold_lookup = lookup.join(F.broadcast(hot.select(key)), key, "left_anti")
-    if cold_lookup.isEmpty():
+    if size == keys:
         return mapped
+    cold_lookup = lookup.filter(~short | (F.col(weight) < cutoff))
     cold_facts = facts.join(F.broadcast(hot.select(key)), key, "left_anti")
     return mapped.unionByName(cold_facts.join(cold_lookup, key))
 
