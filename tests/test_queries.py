@@ -6,12 +6,13 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from qirtas.plans.oracles import ORACLES
+from qirtas.plans.queries import QUERIES
 
 TABLES = (
     "region nation customer supplier part orders lineitem events "
     "documents embeddings pages benchmark labels conversations"
 ).split()
-QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -34,7 +35,8 @@ def _rows(columns, rows):
 
 
 def test_names():
-    assert set(ORACLES) <= set(QUERIES)
+    assert set(ORACLES) <= set(QUERIES) <= set(contract.queries())
+    assert set(ORACLES) <= set(contract.oracle_sql()) <= set(contract.queries())
     assert not any(n.startswith("op") or "pipeline" in n for n in QUERIES)
 
 
