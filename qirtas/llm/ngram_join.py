@@ -89,17 +89,25 @@ def class_number(tokens: np.ndarray) -> int:
 
 
 def bitmap(df: DataFrame, column: str, bits: int) -> np.ndarray:
-    """A fixed number of cells; True where a value of ``column`` falls."""
-    word = F.expr(f"shiftright({column} & {(1 << bits) - 1}, 6)")
+    """A fixed number of bits, 64 to a word; one is set where a value of ``column`` falls."""
     rows = (
-        df.select(word.alias("word"), F.expr(f"shiftleft(1L, cast({column} & 63 as int))").alias("bit"))
+        df.select(
+            F.expr(f"shiftright({column} & {(1 << bits) - 1}, 6)").alias("word"),
+            F.expr(f"shiftleft(1L, cast({column} & 63 as int))").alias("bit"),
+        )
         .groupBy("word")
         .agg(F.bit_or("bit").alias("mask"))
-        .toPandas()
+        .toArrow()
     )
     words = np.zeros(1 << (bits - 6), np.int64)
-    words[rows["word"].to_numpy(np.int64)] = rows["mask"].to_numpy(np.int64)
-    return np.unpackbits(words.view(np.uint8), bitorder="little").astype(bool)
+    words[rows["word"].to_numpy()] = rows["mask"].to_numpy()
+    return words.view(np.uint64)
+
+
+def marked(words: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Which ``values`` fall on a bit that is set."""
+    word = (values >> np.uint64(6)) & np.uint64(len(words) - 1)
+    return (words[word] >> (values & np.uint64(63))) & np.uint64(1) == 1
 
 
 def token_rows(df: DataFrame, text: str, threshold: int) -> DataFrame:
@@ -139,14 +147,13 @@ def doc_rows(df: DataFrame, key: str, text: str, threshold: int, cells) -> DataF
     schema = pa.schema([field, *[(n, common.ARROW[t]) for n, t in DOC], ("tokens", pa.list_(pa.int64()))])
 
     def work(columns: list[list]) -> list[list]:
-        hit, mask = cells.value, np.uint64((1 << TOKEN_BITS) - 1)
         out: list[list] = [columns[0], *[[] for _ in DOC], []]
         for t in columns[1]:
             tokens = shingles(t)
             for values, v in zip(out[1:-1], describe(tokens, threshold), strict=True):
                 values.append(v)
             known = tokens[: emitted(tokens, threshold)]
-            out[-1].append(known[hit[known & mask]].view(np.int64))
+            out[-1].append(known[marked(cells.value, known)].view(np.int64))
         return out
 
     spark_schema = ", ".join([declared, *[f"{n} {t}" for n, t in DOC], "tokens array<bigint>"])
@@ -213,16 +220,18 @@ def verified(pairs: DataFrame, df: DataFrame, text: str, threshold: int) -> Data
     schema = pa.schema([("cid", pa.int64()), ("tokens", pa.binary())])
 
     def work(columns: list[list]) -> list[list]:
-        hit, out = cells.value, ([], [])
+        out = ([], [])
         for t in columns[0]:
             tokens = shingles(t)
-            if len(tokens) and hit[(cid := class_number(tokens)) & ((1 << CLASS_BITS) - 1)]:
+            cid = class_number(tokens)
+            if len(tokens) and marked(cells.value, np.array([cid], np.uint64))[0]:
                 out[0].append(cid)
                 out[1].append(tokens.tobytes())
         return list(out)
 
     sets = common.map_rows(df.select(text), work, "cid long, tokens binary", schema)
     sets = materialize(sets.join(wanted.hint("shuffle_merge"), "cid", "left_semi").dropDuplicates(["cid"]), "sets")
+    cells.destroy()
     met = pairs.join(sets.select(F.col("cid").alias("a"), F.col("tokens").alias("x")).hint("shuffle_merge"), "a").join(
         sets.select(F.col("cid").alias("b"), F.col("tokens").alias("y")).hint("shuffle_merge"), "b"
     )
@@ -335,6 +344,7 @@ def join(
     shared = materialize(shared, "shared-tokens")
     cells = spark.sparkContext.broadcast(bitmap(shared, "token", TOKEN_BITS))
     docs = materialize(doc_rows(df, key, text, threshold, cells), "shingled")
+    cells.destroy()
 
     classes = docs.filter("n > 0").drop(key).dropDuplicates(["cid"])
     counted = classes.withColumn("token", F.explode("tokens")).drop("tokens").join(shared.hint("shuffle_merge"), "token")
