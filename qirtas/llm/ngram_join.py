@@ -32,7 +32,6 @@ WIDTH = 5
 THRESHOLD = 75  # hundredths
 RANGE = 0.35  # of the hash values: counted over all documents; more than a prefix holds
 TILE = 1_000  # documents of a side
-MEMO_WORDS = 300_000
 # Cells of the filters that spare shuffling what cannot match: 4 MB and 0.5 MB, whatever the data.
 TOKEN_BITS, CLASS_BITS = 25, 22
 _LIMIT = np.uint64(int(RANGE * 2**63))
@@ -44,34 +43,53 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-class WordHashes(dict):
-    """Hashes of words, remembered up to a bound."""
-
-    def __missing__(self, word: bytes) -> int:
-        found = self[word] = xxhash.xxh3_64_intdigest(word)
-        return found
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        if len(self) > MEMO_WORDS:
-            self.clear()
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
-
-
-HASHES = WordHashes()
+_random = np.random.default_rng(77)
+BYTE = _random.integers(0, 1 << 64, 256, np.uint64)
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
+SPACE = np.zeros(256, bool)
+SPACE[[9, 10, 11, 12, 13, 32]] = True
+BYTE[SPACE] = 0  # what stands between words adds nothing to the word before it
+BYTE = BYTE[LOWER]
+_places = np.zeros(0, np.uint64)
+
+
+def places(size: int) -> np.ndarray:
+    """Odd multipliers by place in a word; longer lists begin like shorter ones."""
+    global _places
+    if len(_places) < size:
+        rng = np.random.default_rng(78)
+        _places = rng.integers(0, 1 << 64, 1 << max(size, 512).bit_length(), np.uint64) | np.uint64(1)
+    return _places
+
+
+def word_hashes(text: str | None) -> np.ndarray:
+    """64 bits of each word, A-Z lower-cased, in order."""
+    data = np.frombuffer((text or "").encode(), np.uint8)
+    blank = SPACE[data]
+    begins = np.flatnonzero(~blank & np.concatenate([[True], blank[:-1]])) if len(data) else np.zeros(0, np.int64)
+    if not len(begins):
+        return np.zeros(0, np.uint64)
+    data = data[begins[0] :]
+    begins = begins - begins[0]
+    sizes = np.diff(begins, append=len(data))
+    place = np.arange(len(data)) - np.repeat(begins, sizes)
+    return mix(np.add.reduceat(BYTE[data] * places(int(sizes.max()))[place], begins))
 
 
 def shingles(text: str | None, width: int = WIDTH) -> np.ndarray:
     """Sorted distinct 63-bit hashes of the shingles (of all words, if they are fewer)."""
-    words = (text or "").encode().lower().split()
-    n = len(words)
+    h = word_hashes(text)
+    n = len(h)
     if not n:
         return np.zeros(0, np.uint64)
-    h = HASHES.of(words)
     size = min(width, n)
     out = mix(h[: n - size + 1] + np.uint64(size))
     for k in range(1, size):
         out = mix(out * np.uint64(31) + h[k : n - size + 1 + k])
-    return np.unique(out >> np.uint64(1))
+    out >>= np.uint64(1)
+    out.sort()
+    return out[np.concatenate([[True], out[1:] != out[:-1]])]
 
 
 def prefix_size(n: int, threshold: int) -> int:
@@ -283,29 +301,33 @@ def tile_pairs(rows: DataFrame, threshold: int) -> DataFrame:
         if not left or not right:
             return []
         sets = [np.array(g[10], np.int64) for g in right]
-        sizes = np.array([len(s) for s in sets])
-        tokens, owner = np.concatenate(sets), np.repeat(np.arange(len(right)), sizes)
+        tokens, owner = np.concatenate(sets), np.repeat(np.arange(len(right)), [len(s) for s in sets])
         order = np.argsort(tokens, kind="stable")
         tokens, owner = tokens[order], owner[order]
         in_range = tokens < _LIMIT.astype(np.int64)
-        n, low = np.array([g[6] for g in right]), np.array([g[7] for g in right])
-        labels, cids = np.array([g[2] for g in right]), np.array([g[1] for g in right])
-        facts = [(g[6], g[7], g[8], g[9], s) for g, s in zip(right, sets, strict=True)]
+        second = second_order(tokens.view(np.uint64)).view(np.int64)
+        cids, labels, n, low, edge2, edge3 = (np.array([g[k] for g in right], np.int64) for k in (1, 2, 6, 7, 8, 9))
         out = []
         for g in left:
+            if g[1] == g[0]:
+                continue
+            fits = 100 * np.minimum(n, g[6]) >= threshold * np.maximum(n, g[6])
+            fits &= (labels != g[2]) & (cids != g[0]) & ((cids > g[1]) if i == j else (cids != g[1]))
+            if not fits.any():
+                continue
             own = np.array(g[10], np.int64)
             begin, end = np.searchsorted(tokens, own, "left"), np.searchsorted(tokens, own, "right")
             counts = end - begin
-            at = np.repeat(begin - np.concatenate([[0], np.cumsum(counts)[:-1]]), counts) + np.arange(counts.sum())
-            shared = np.bincount(owner[at[in_range[at]]], minlength=len(right))
-            most = shared + np.minimum(n - low, g[6] - g[7])
-            fits = 100 * np.minimum(n, g[6]) >= threshold * np.maximum(n, g[6])
+            at = np.repeat(begin - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
+            at = at[fits[owner[at]]]
+            who, ranged = owner[at], in_range[at]
+            by_hash = tokens[at] <= np.minimum(edge2[who], g[8])
+            by_second = np.where(ranged, second[at] <= np.minimum(edge3[who], g[9]), by_hash)
+            met = lambda mask, who=who: np.bincount(who[mask], minlength=len(right))
+            most = met(ranged) + np.minimum(n - low, g[6] - g[7])
             fits &= (100 + threshold) * most >= threshold * (n + g[6])
-            fits &= (labels != g[2]) & (cids != g[0]) & ((cids > g[1]) if i == j else (cids != g[1]))
-            if g[1] == g[0]:
-                continue
-            mine = (g[6], g[7], g[8], g[9], own)
-            out += [(min(g[1], int(cids[k])), max(g[1], int(cids[k]))) for k in np.flatnonzero(fits) if may_link(mine, facts[k], threshold)]
+            fits &= (met(by_hash) > 0) & (met(by_second) > 0)
+            out += [(min(g[1], k), max(g[1], k)) for k in cids[fits].tolist()]
         return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -353,19 +375,19 @@ def join(
     first_order = F.struct(beyond.alias("beyond"), F.when(beyond, 0).otherwise(F.col("df")).alias("df"), F.col("token").alias("token"))
     facts = [n for n, _ in DOC]
     profiles = counted.groupBy(*facts).agg(F.sort_array(F.collect_list(first_order)).alias("ordered"))
-    profiles = profiles.withColumn("shared", F.sort_array("ordered.token"))
+    alone = F.expr("low - size(filter(ordered, t -> not t.beyond))")
+    profiles = profiles.withColumns({"shared": F.sort_array("ordered.token"), "alone": alone})
     profiles = materialize(profiles, "profiles")
     # Tokens of this document alone come first in the prefix and meet nobody.  One
     # behind the range stands behind all of those in range.
     size = F.expr(f"n - ceil({threshold} * n / 100) + 1")
-    alone_in_range = F.expr("low - size(filter(ordered, t -> not t.beyond))")
-    places = F.col("pos") + alone_in_range
+    place = F.col("pos") + F.col("alone")
     # Behind the range only the first tokens by hash were emitted; each of them is in the prefix.
-    in_prefix = F.when(F.col("t.beyond"), F.lit(True)).otherwise(places < size)
+    in_prefix = F.when(F.col("t.beyond"), F.lit(True)).otherwise(place < size)
     postings = (
-        profiles.select("cid", "n", "low", "ordered", F.posexplode("ordered").alias("pos", "t"))
+        profiles.select("cid", "n", "alone", F.posexplode("ordered").alias("pos", "t"))
         .filter(in_prefix)
-        .select(F.col("t.token").alias("token"), "cid", F.struct((places / F.col("n")).alias("place"), "cid").alias("central"))
+        .select(F.col("t.token").alias("token"), "cid", F.struct((place / F.col("n")).alias("place"), "cid").alias("central"))
     )
     postings = materialize(postings, "postings")
     pivots = (
