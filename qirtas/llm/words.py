@@ -9,13 +9,13 @@ and each distinct word has to be encoded once.
 from __future__ import annotations
 
 import os
+import struct
 from functools import lru_cache
 
-import numpy as np
 from tokenizers import Tokenizer
 
-# Distinct words that a Python worker remembers (about 60 MB); then it starts anew.
-MEMO_WORDS = 300_000
+# Distinct words that a Python worker remembers (about 200 MB); then it starts anew.
+MEMO_WORDS = 1_000_000
 
 
 @lru_cache(maxsize=2)
@@ -60,7 +60,7 @@ def encode_words(path: str, words: list[bytes]) -> list[bytes]:
     found = tokenizer(path).encode_batch_fast(
         [w.decode() for w in words], add_special_tokens=False
     )
-    return [np.asarray(e.ids, "<u4").tobytes() for e in found]
+    return [struct.pack(f"<{len(e.ids)}I", *e.ids) for e in found]
 
 
 class WordIds:
