@@ -16,10 +16,9 @@ import argparse
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from qirtas.functions.text import fold_words
-from qirtas.operators import corpus, reshape
+from qirtas.functions.text import fold
+from qirtas.operators import corpus, metrics, reshape
 from qirtas.operators import models as md
-from qirtas.operators.features import with_cleaned
 from qirtas.plans import batch
 from qirtas.sources import messages, tables, wordlists
 from qirtas.streaming import scoring
@@ -38,13 +37,12 @@ def acquire(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def process(spark: SparkSession, args: argparse.Namespace) -> None:
     raw = tables.read_table(spark, args.raw)
-    words: frozenset[str] = frozenset()
+    words = ()
     if args.stopwords:
-        loaded = wordlists.literal_words(wordlists.load_words(spark, args.stopwords))
-        if loaded is None:
-            raise SystemExit("the list is too long for a literal set; use wordlists.drop_words")
-        words = fold_words(loaded) if args.fold_stopwords else loaded
-    tables.write_table(with_cleaned(raw, stopwords=words, stem=not args.no_stem), args.out)
+        words = wordlists.load_words(spark, args.stopwords)
+        if args.fold_stopwords:
+            words = words.select(fold("word").alias("word")).distinct()
+    batch.process(raw, args.out, words, stem=not args.no_stem)
 
 
 def profile(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -65,10 +63,17 @@ def features(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def train(spark: SparkSession, args: argparse.Namespace) -> None:
     rows = batch.write_training_rows(tables.read_table(spark, args.table), args.key)
-    fitted = {name: batch.fit(estimator, rows) for name, estimator in md.COMPARED.items()}
+    fitted = {n: batch.fit(e, rows, args.key, args.tasks) for n, e in md.COMPARED.items()}
     md.top_importances(spark, fitted["Random Forest"]).show()
-    md.compare(fitted, rows.filter("split = 'test'")).show()
-    batch.select_best(fitted, rows, args.model, args.select_on).show()
+    test = rows.filter("split = 'test'")
+    compared = md.compare(fitted, test)
+    compared.show()
+    for name, model in fitted.items():
+        print(name)
+        scored = model.transform(test).select("label_idx", "prediction")
+        metrics.confusion_matrix(scored, [0.0, 1.0], "label_idx").show()
+    known = compared if args.select_on == "test" else None
+    batch.select_best(fitted, rows, args.model, args.select_on, known).show()
 
 
 def encode(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -78,7 +83,7 @@ def encode(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.kafka:
         messages.write_to_kafka(lines, args.kafka, args.topic)
     else:
-        lines.select(F.col("value").cast("binary")).write.mode("append").parquet(args.out)
+        lines.select(F.col("value").cast("binary")).write.mode("overwrite").parquet(args.out)
 
 
 def stream(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -87,9 +92,15 @@ def stream(spark: SparkSession, args: argparse.Namespace) -> None:
         if args.kafka
         else scoring.file_source(spark, args.input)
     )
+    if args.drain:
+        scoring.run_available(scoring.score(source), args.checkpoint, args.out, args.seconds or None)
+        return
     query = scoring.append_to(scoring.score(source), args.checkpoint, args.out)
-    query.awaitTermination(args.seconds)
-    query.stop()
+    if args.seconds:
+        query.awaitTermination(args.seconds)
+        query.stop()
+    else:
+        query.awaitTermination()
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -112,15 +123,16 @@ def main(argv: list[str] | None = None) -> None:
     command(features, "table", "key", "out").add_argument(
         "--fit-on", choices=["all", "train"], default="all"
     )
-    command(train, "table", "key", "model").add_argument(
-        "--select-on", choices=["test", "val"], default="test"
-    )
+    sub = command(train, "table", "key", "model")
+    sub.add_argument("--select-on", choices=["test", "val"], default="test")
+    sub.add_argument("--tasks", type=int, default=batch.FIT_TASKS)
     sub = command(encode, "table", "key")
     sub.add_argument("--rows", type=int, default=messages.SAMPLE_ROWS)
     for name in ("out", "kafka", "topic"):
         sub.add_argument(f"--{name}")
     sub = command(stream, "checkpoint")
-    sub.add_argument("--seconds", type=float, default=90)
+    sub.add_argument("--seconds", type=float, default=90, help="0: until it is stopped")
+    sub.add_argument("--drain", action="store_true", help="end when the input is processed")
     for name in ("input", "kafka", "topic", "out"):
         sub.add_argument(f"--{name}")
 

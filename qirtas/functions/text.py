@@ -55,7 +55,7 @@ def normalize_letters(col: Column | str, profile: Profile = BATCH) -> Column:
     return F.translate(col, profile.letters, profile.folded)
 
 
-def _fold(col: Column | str, profile: Profile) -> Column:
+def fold(col: Column | str, profile: Profile = BATCH) -> Column:
     """Diacritics and letters in one pass; characters beyond ``folded`` are deleted."""
     return F.translate(col, profile.letters + DIACRITICS, profile.folded)
 
@@ -76,7 +76,7 @@ def clean_text(
     Stopwords are matched after folding and before stemming.
     """
     words = frozenset(stopwords)
-    cleaned = F.trim(F.regexp_replace(_fold(_text(col), profile), f"[^{ARABIC}]+", " "))
+    cleaned = F.trim(F.regexp_replace(fold(_text(col), profile), f"[^{ARABIC}]+", " "))
     if words:
         cleaned = F.array_join(remove_stopwords(tokenize(cleaned), words), " ")
     return stemming.stem_text(cleaned) if stem else cleaned
@@ -84,7 +84,7 @@ def clean_text(
 
 def stream_clean(col: Column | str) -> Column:
     """The light cleaner of the stream: no stopwords, no stemming, inner spaces stay."""
-    return F.trim(script_filter(_fold(_text(col), STREAM)))
+    return F.trim(script_filter(fold(_text(col), STREAM)))
 
 
 def has_script(col: Column | str) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from qirtas.functions.stem import stem_text
@@ -23,8 +23,10 @@ def tfidf_terms(
 
     m counts all documents, also those without a term.
     """
-    counts = materialize(term_counts(df, key, cleaned), "term-counts")
-    documents = df.count()
+    seen = Observation()
+    counted = term_counts(df.observe(seen, F.count(F.lit(1)).alias("m")), key, cleaned)
+    counts = materialize(counted, "term-counts")
+    documents = seen.get["m"]
     frequency = materialize(counts.groupBy("term").agg(F.count("*").alias("df")), "term-documents")
     idf = F.log(F.lit(float(documents + 1)) / (F.col("df") + 1))
     return join_lookup(counts, frequency, "term", "df", hot_rows).select(

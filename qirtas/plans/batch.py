@@ -9,24 +9,38 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 
 from pyspark.ml import Estimator, Model
-from pyspark.ml.classification import MultilayerPerceptronClassifier
 from pyspark.sql import DataFrame
 
 from qirtas.functions.lexicons import TOP_WORDS
+from qirtas.functions.stem import stem_text
 from qirtas.operators import models as md
 from qirtas.operators.features import with_cleaned, with_features
 from qirtas.operators.split import assign_split
 from qirtas.operators.vectors import assemble, fit_tfidf
 from qirtas.sources.tables import read_table, write_table
+from qirtas.sources.wordlists import drop_words, literal_words
 from qirtas.storage import fresh_path
 
-ROWS_PER_FIT_TASK = 20_000
+# Tasks of each iteration of a fit.
+FIT_TASKS = 8
 
 
 def process(
-    raw: DataFrame, path: str, stopwords: Iterable[str] = (), stem: bool = True
+    raw: DataFrame, path: str, stopwords: Iterable[str] | DataFrame = (), stem: bool = True
 ) -> DataFrame:
-    """Clean the raw table, write it to ``path`` and return the written table."""
+    """Clean the raw table, write it to ``path`` and return the written table.
+
+    ``stopwords`` are words, or a frame with a column ``word`` of any length.
+    """
+    if isinstance(stopwords, DataFrame):
+        listed = literal_words(stopwords)
+        if listed is None:
+            cleaned = drop_words(with_cleaned(raw), "cleaned_text", stopwords)
+            if stem:
+                cleaned = cleaned.withColumn("cleaned_text", stem_text("cleaned_text"))
+            write_table(cleaned, path)
+            return read_table(raw.sparkSession, path)
+        stopwords = listed
     write_table(with_cleaned(raw, stopwords=stopwords, stem=stem), path)
     return read_table(raw.sparkSession, path)
 
@@ -56,37 +70,35 @@ def write_training_rows(features: DataFrame, key: str, path: str | None = None)
     return read_table(features.sparkSession, path)
 
 
-def fit(estimator: Callable[[], Estimator], rows: DataFrame) -> Model:
-    """Fit on the training part, with tasks of a size that suits the model.
+def fit(
+    estimator: Callable[[], Estimator], rows: DataFrame, key: str = "doc_id", tasks: int = FIT_TASKS
+) -> Model:
+    """Fit on the training part, dealt to ``tasks`` tasks by key and ordered there.
 
-    Each iteration is a job of its own.  The linear models and the forest spend
-    microseconds per row, so near-empty tasks cost more than they compute and
-    small splits are merged.  The network spends milliseconds per row, so a
-    table with fewer splits than cores is spread.  A large table has enough full
-    splits and keeps them in both cases.
+    Trees draw their samples and the network its batches by task and row order, so
+    this order makes the model depend on the rows, ``tasks`` and nothing else: not
+    on the files, the cluster or a retry.  Raise ``tasks`` with the table.
     """
-    model = estimator()
-    train = rows.filter("split = 'train'").select("label_idx", "features")
-    network = isinstance(model, MultilayerPerceptronClassifier)
-    per_task = model.getBlockSize() if network else ROWS_PER_FIT_TASK
-    wanted = max(-(-train.count() // per_task), 1)
-    splits = train.rdd.getNumPartitions()
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    if wanted < splits:
-        train = train.coalesce(wanted)
-    elif network and splits < cores:
-        train = train.repartition(min(wanted, cores))
-    return model.fit(train)
+    train = rows.filter("split = 'train'").select(key, "label_idx", "features")
+    dealt = train.repartition(tasks, key).sortWithinPartitions(key)
+    return estimator().fit(dealt.select("label_idx", "features"))
 
 
 def select_best(
-    fitted: dict[str, Model], rows: DataFrame, path: str, select_on: str = "test"
+    fitted: dict[str, Model],
+    rows: DataFrame,
+    path: str,
+    select_on: str = "test",
+    compared: DataFrame | None = None,
 ) -> DataFrame:
     """Save the model with the highest weighted F1 on one part; returns its line.
 
     ``select_on="test"`` gives the reference results; ``"val"`` leaves the test
-    part untouched by the choice.
+    part untouched by the choice.  ``compared`` is a comparison on that part made
+    before.
     """
-    best = md.best_model(md.compare(fitted, rows.filter(f"split = '{select_on}'")))
+    if compared is None:
+        compared = md.compare(fitted, rows.filter(f"split = '{select_on}'"))
+    best = md.best_model(compared)
     md.save_model(fitted[best.first()["model"]], path)
     return best

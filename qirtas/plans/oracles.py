@@ -199,16 +199,17 @@ _STEPS = [
 ]
 
 
-def _stem_ctes(tokens_sql: str) -> str:
-    """CTEs ending in s(token, stem) for a query that gives distinct ``token``."""
+def _stem_ctes(tokens_sql: str, carry: str = "") -> str:
+    """CTEs ending in s(token, stem, ``carry``) for a query that gives distinct ``token``."""
     kept = _strings(KEPT_WORDS)
-    ctes = [f"v0 AS (SELECT token, token AS w, token IN ({kept}) AS kept FROM ({tokens_sql}))"]
+    ctes = [f"v0 AS (SELECT token, token AS w, token IN ({kept}) AS kept{carry} FROM ({tokens_sql}))"]
     for i, step in enumerate(_STEPS):
-        ctes.append(f"v{i + 1} AS (SELECT token, {step} AS w, kept FROM v{i})")
-    ctes.append(f"s AS (SELECT token, w AS stem FROM v{len(_STEPS)})")
+        ctes.append(f"v{i + 1} AS MATERIALIZED (SELECT token, {step} AS w, kept{carry} FROM v{i})")
+    ctes.append(f"s AS (SELECT token, w AS stem{carry} FROM v{len(_STEPS)})")
     return ",\n".join(ctes)
 
 
+_SOURCES = f"{DOCS}, sources AS (SELECT doc_id, source AS source_model FROM docs)"
 _STOPPED = _clean_cte("docs", fx.STOPWORDS)
 _POSITIONS = (
     "p AS (SELECT doc_id, unnest(tok) AS token, unnest(range(1, len(tok) + 1)) AS pos FROM c)"
@@ -276,11 +277,11 @@ def _message(text: str, label: str, id_: str) -> str:
     return f"to_json({{'text': {text}, 'label': {label}, 'id': ({id_})::INT}})::VARCHAR"
 
 
-def _index(column: str) -> str:
+def _index(column: str, rows: str = LAB, rel: str = "lab") -> str:
     return (
-        f"WITH {LAB} SELECT {column}, n, "
+        f"WITH {rows} SELECT {column}, n, "
         f"(row_number() OVER (ORDER BY n DESC, {column}) - 1)::DOUBLE AS label_idx "
-        f"FROM (SELECT {column}, count(*) AS n FROM lab GROUP BY {column})"
+        f"FROM (SELECT {column}, count(*) AS n FROM {rel} GROUP BY {column})"
     )
 
 
@@ -301,15 +302,17 @@ ORACLES: dict[str, str] = {
     "stopword_vocab": f"WITH {CLEAN_DOCS} SELECT DISTINCT unnest(tok) AS word FROM c",
     "processed_roundtrip": f"""WITH {LAB}, {_clean_cte("lab", fx.STOPWORDS)}
 SELECT doc_id, label, source_model, generation_method, cleaned_text FROM c""",
-    "split_sinks": f"""WITH {LAB} SELECT {_SPLIT} AS split, count(*) AS n,
-  sum(doc_id)::BIGINT AS sum_doc_id FROM lab GROUP BY 1""",
+    "split_sinks": f"""WITH {DOCS} SELECT {_SPLIT} AS split, count(*) AS n,
+  sum(doc_id)::BIGINT AS sum_doc_id FROM docs GROUP BY 1""",
     "raw_roundtrip": f"""WITH {RAW} SELECT label, generation_method, source_model,
   count(*) AS n, sum(length(text))::BIGINT AS chars FROM raw GROUP BY ALL""",
     "encode_messages": f"""WITH {LAB},
 sampled AS (SELECT text, label, {_SAMPLE.format("lab")})
 SELECT {_message("left(text, 500)", "label", "id")} AS value FROM sampled""",
-    "encode_all_messages": f"""WITH {LAB}
-SELECT doc_id, {_message("text", "label", "doc_id")} AS value FROM lab""",
+    "encode_all_messages": f"""WITH {DOCS}, every AS (SELECT docs.doc_id, docs.text,
+  CASE WHEN quality = 1 THEN 'ai' WHEN quality IS NOT NULL THEN 'human' END AS label
+  FROM docs LEFT JOIN labels ON docs.doc_id = labels.doc_id)
+SELECT doc_id, {_message("text", "label", "doc_id")} AS value FROM every""",
     "decode_messages": f"""WITH {DOCS}
 SELECT doc_id AS source_id, text, source AS label, doc_id AS id FROM docs
 UNION ALL SELECT page_id, NULL, NULL, NULL FROM pages""",
@@ -333,12 +336,13 @@ SELECT script, count(*) AS n, sum(doc_id)::BIGINT AS sum_doc_id FROM c GROUP BY
         n_tokens=f"len({_tokens(_script('text'))})",
     ),
     "remove_stopwords": f"WITH {DOCS}, {_STOPPED} SELECT doc_id, cleaned_text FROM c",
+    "drop_words_long": f"WITH {DOCS}, {_STOPPED} SELECT doc_id, cleaned_text FROM c",
     "remove_stopwords_folded": f"""WITH {DOCS}, {_clean_cte("docs", fold_words(fx.STOPWORDS))}
 SELECT doc_id, cleaned_text FROM c""",
     "stem_vocab": f"""WITH {CLEAN_DOCS},
 t AS (SELECT token, count(*) AS n FROM (SELECT unnest(tok) AS token FROM c) GROUP BY token),
-{_stem_ctes("SELECT token FROM t")}
-SELECT t.token, s.stem, t.n FROM t JOIN s ON t.token = s.token""",
+{_stem_ctes("SELECT token, n FROM t", ", n")}
+SELECT token, stem, n FROM s""",
     "clean_text": _per_document(
         cleaned_text=f"array_to_string({_tokens(_script(_folded('text')))}, ' ')"
     ),
@@ -355,7 +359,7 @@ SELECT doc_id, cleaned_text FROM st""",
 SELECT doc_id, unnest(range(0, len(tok) - 1)) AS pos, unnest({_BIGRAMS}) AS bigram
 FROM c WHERE len(tok) > 1""",
     "label_counts": _counts(LAB, "lab", "label"),
-    "source_counts": _counts(LAB, "lab", "source_model"),
+    "source_counts": _counts(_SOURCES, "sources", "source_model"),
     "length_stats": f"""WITH {LAB} SELECT label, round(avg(length(text)), 2) AS avg_length,
   min(length(text))::INT AS min_length, max(length(text))::INT AS max_length
 FROM lab GROUP BY label""",
@@ -396,7 +400,7 @@ i AS (SELECT term, df, ln(((SELECT count(*) FROM c) + 1)::DOUBLE / (df + 1)) AS
 SELECT tf.doc_id, tf.term, tf.tf, i.df, round(i.idf, 6) AS idf, round(tf.tf * i.idf, 6) AS tfidf
 FROM tf JOIN i ON tf.term = i.term""",
     "label_index": _index("label"),
-    "source_index": _index("source_model"),
+    "source_index": _index("source_model", _SOURCES, "sources"),
     "hashed_tf": f"""WITH {CLEAN_DOCS}
 SELECT doc_id, 5000::BIGINT AS vector_size, len(tok)::BIGINT AS n_tokens FROM c""",
     "tfidf_vectors": f"""WITH {_PROCESSED},
@@ -438,7 +442,9 @@ SELECT round((ranks - pos * (pos + 1) / 2) / (pos * neg), 6) AS auc FROM t""",
     "confusion": f"""WITH {RULED} SELECT label,
   count(*) FILTER (prediction = 'ai') AS predicted_ai,
   count(*) FILTER (prediction = 'human') AS predicted_human,
-  count(*) FILTER (prediction = 'unknown') AS predicted_unknown FROM ruled GROUP BY label""",
+  count(*) FILTER (prediction = 'unknown') AS predicted_unknown,
+  count(*) FILTER (prediction IS NULL OR prediction NOT IN ('ai', 'human', 'unknown')) AS predicted_other
+FROM ruled GROUP BY label""",
     "stream_score": f"""WITH {DOCS}, {_light_cte("docs", "doc_id, source")}
 SELECT doc_id AS id, source AS label, {_LABEL} AS prediction FROM lc
 UNION ALL SELECT NULL, NULL, 'unknown' FROM pages""",

@@ -33,6 +33,10 @@ def _labelled(spark: SparkSession, sf: str) -> DataFrame:
     return fixtures.labelled(spark, sf)
 
 
+def _sources(spark: SparkSession, sf: str) -> DataFrame:
+    return _docs(spark, sf).withColumnRenamed("source", "source_model")
+
+
 def prepare(spark: SparkSession, sf: str) -> None:
     """Write the derived input tables ahead of the queries."""
     _docs(spark, sf)
@@ -88,7 +92,7 @@ def processed_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 
 def split_sinks(spark: SparkSession, sf: str) -> DataFrame:
     path = fresh_path(spark, "splits")
-    tables.write_table(assign_split(_labelled(spark, sf), "doc_id"), path, ("split",))
+    tables.write_table(assign_split(_docs(spark, sf), "doc_id"), path, ("split",))
     return (
         tables.read_table(spark, path)
         .groupBy(F.col("split").cast("string").alias("split"))
@@ -116,7 +120,7 @@ def encode_messages(spark: SparkSession, sf: str) -> DataFrame:
 def encode_all_messages(spark: SparkSession, sf: str) -> DataFrame:
     """Every document, whole text."""
     value = messages.encode(F.col("text"), F.col("label"), F.col("doc_id"), max_chars=None)
-    return _labelled(spark, sf).select("doc_id", value.alias("value"))
+    return fixtures.all_documents(spark, sf).select("doc_id", value.alias("value"))
 
 
 def decode_messages(spark: SparkSession, sf: str) -> DataFrame:
@@ -174,6 +178,13 @@ def remove_stopwords(spark: SparkSession, sf: str) -> DataFrame:
     return _cleaned(_docs(spark, sf), fixtures.STOPWORDS).select("doc_id", "cleaned_text")
 
 
+def drop_words_long(spark: SparkSession, sf: str) -> DataFrame:
+    """The same words over all documents, looked up by joins as a long list is."""
+    words = spark.createDataFrame([(w,) for w in fixtures.STOPWORDS], "word string")
+    cleaned = _cleaned(_docs(spark, sf)).select("doc_id", "cleaned_text")
+    return wordlists.drop_words(cleaned, "cleaned_text", words, limit=0)
+
+
 def remove_stopwords_folded(spark: SparkSession, sf: str) -> DataFrame:
     """The same list folded first, so that none of its words is dead."""
     folded = text.fold_words(fixtures.STOPWORDS)
@@ -207,7 +218,7 @@ def label_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def source_counts(spark: SparkSession, sf: str) -> DataFrame:
-    return corpus.value_counts(_labelled(spark, sf), "source_model")
+    return corpus.value_counts(_sources(spark, sf), "source_model")
 
 
 def length_stats(spark: SparkSession, sf: str) -> DataFrame:
@@ -285,7 +296,7 @@ def label_index(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def source_index(spark: SparkSession, sf: str) -> DataFrame:
-    return terms.label_index(_labelled(spark, sf), "source_model")
+    return terms.label_index(_sources(spark, sf), "source_model")
 
 
 def hashed_tf(spark: SparkSession, sf: str) -> DataFrame:
@@ -513,6 +524,7 @@ QUERIES: dict[str, Query] = {
     "tokenize": _per_document(_tokenize),
     "remove_stopwords": remove_stopwords,
     "remove_stopwords_folded": remove_stopwords_folded,
+    "drop_words_long": drop_words_long,
     "stem_vocab": stem_vocab,
     "clean_text": _per_document(lambda: {"cleaned_text": text.clean_text("text")}),
     "clean_text_stemmed": clean_text_stemmed,

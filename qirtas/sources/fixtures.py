@@ -71,8 +71,20 @@ def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return materialize_once(spark, f"{sf_dir}/labelled", build)
 
 
+def all_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its label, null where it has none."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
+    label = F.when(F.col("quality") == 1, "ai").when(F.col("quality").isNotNull(), "human")
+    joined = documents(spark, sf_dir).join(labels, "doc_id", "left")
+    return joined.select("doc_id", "text", label.alias("label"), F.col("source").alias("source_model"))
+
+
 def wide_abstracts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Conversations as wide rows: five turns fill the five text columns."""
+    """Conversations as wide rows: five turns fill the five text columns; written once."""
+    return materialize_once(spark, f"{sf_dir}/wide", lambda: _wide(spark, sf_dir))
+
+
+def _wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "text")
     slots = [HUMAN_COLUMN, *AI_COLUMNS]
     width = len(slots)

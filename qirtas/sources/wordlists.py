@@ -31,32 +31,39 @@ def literal_words(words: DataFrame, limit: int = MAX_LITERAL_WORDS) -> frozenset
 
 def drop_words(
     df: DataFrame,
-    key: str,
     cleaned: str,
     words: DataFrame,
     limit: int = MAX_LITERAL_WORDS,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """key and ``cleaned`` without the listed words; rows left empty go.
+    """``df`` with the listed words out of ``cleaned``; rows left empty go.
 
     A short list becomes a hash set inside the expression: no shuffle.  A longer
     one is looked up token by token, where frequent tokens meet a broadcast part
     of the vocabulary and stay where they are; then the texts are put together
-    again in order, one row per document.
+    again in order, one per row.  Both ways give the same rows with all columns.
     """
     listed = literal_words(words, limit)
     if listed is not None:
         kept = F.array_join(remove_stopwords(tokenize(cleaned), listed), " ")
-        return df.select(key, F.explode(F.array_remove(F.array(kept), "")).alias(cleaned))
+        emptied = df.withColumn(cleaned, F.array_remove(F.array(kept), ""))
+        return emptied.withColumn(cleaned, F.explode(cleaned))
+    # Row numbers are written with the rows, so they stay the same in every reader.
+    rows = materialize(df.withColumn("_row", F.monotonically_increasing_id()), "rows")
     tokens = materialize(
-        df.select(key, F.posexplode(tokenize(cleaned)).alias("pos", "word")), "tokens"
+        rows.select("_row", F.posexplode(tokenize(cleaned)).alias("pos", "word")), "tokens"
     )
     vocabulary = tokens.groupBy("word").agg(F.count("*").alias("n"))
-    marked = vocabulary.join(words.withColumn("listed", F.lit(True)), "word", "left")
-    return (
+    marked = vocabulary.join(words.select("word").distinct().withColumn("listed", F.lit(True)), "word", "left")
+    kept = (
         join_lookup(tokens, materialize(marked, "vocabulary"), "word", "n", hot_rows)
         .filter(F.col("listed").isNull())
-        .groupBy(key)
+        .groupBy("_row")
         .agg(F.sort_array(F.collect_list(F.struct("pos", "word"))).alias("kept"))
-        .select(key, F.array_join("kept.word", " ").alias(cleaned))
+        .select("_row", F.array_join("kept.word", " ").alias("_kept"))
+    )
+    return (
+        rows.join(kept, "_row")
+        .withColumn(cleaned, F.col("_kept"))
+        .select(*[F.col(f"`{c}`") for c in df.columns])
     )

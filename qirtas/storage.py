@@ -21,6 +21,8 @@ _SETTING = "spark.checkpoint.dir"
 
 def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get(_SETTING, None) or spark.sparkContext.getCheckpointDir()
+    if folder and folder.startswith("file:") and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError(f"{folder} is a local folder; {_SETTING} must be one that every executor can reach")
     if folder:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):

@@ -70,9 +70,14 @@ def append_to(
 def run_available(
     scored: DataFrame, checkpoint: str, path: str, timeout: float | None = None
 ) -> None:
-    """Process what is there and stop; a rerun resumes from the checkpoint."""
+    """Process what is there and stop; a rerun resumes from the checkpoint.
+
+    Raises TimeoutError if the time was too short; what was written stays right.
+    """
     query = append_to(scored, checkpoint, path, available_now=True)
     try:
-        query.awaitTermination(timeout)
+        ended = query.awaitTermination() if timeout is None else query.awaitTermination(timeout)
     finally:
         query.stop()
+    if ended is False:
+        raise TimeoutError(f"not everything was processed in {timeout} seconds; run it again")

@@ -61,7 +61,7 @@ def test_model_queries_run(spark, small, name):
     "name, columns",
     [
         ("label_counts", "label:string"),
-        ("source_counts", "source_model:string"),
+        ("source_counts", "source:string"),
         ("ttr_by_label", "text:string,label:string"),
         ("split_counts", "doc_id:bigint"),
         ("word_count_top", "text:string"),
