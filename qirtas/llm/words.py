@@ -8,7 +8,10 @@ and each distinct word has to be encoded once.
 
 from __future__ import annotations
 
+import gc
+import json
 import os
+import re
 import struct
 from functools import lru_cache
 
@@ -55,12 +58,53 @@ def special_marks(path: str) -> tuple[bytes, ...]:
     return tuple({t.content.encode()[:2] for t in added})
 
 
-def encode_words(path: str, words: list[bytes]) -> list[bytes]:
-    """Ids of each word as little-endian unsigned 32-bit integers."""
-    found = tokenizer(path).encode_batch_fast(
-        [w.decode() for w in words], add_special_tokens=False
-    )
-    return [struct.pack(f"<{len(e.ids)}I", *e.ids) for e in found]
+# Lower-case letters (ASCII and Latin-1), then ASCII punctuation: the vocabulary's
+# rules leave both runs as they are and always cut between them.
+LETTERS_TAIL = re.compile(rb"((?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+)([!-/:-@\[-`{-~]*)")
+KNOWN_RULES = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
+LETTER_RUNS = r"|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+@lru_cache(maxsize=2)
+def bare_tokenizer(path: str) -> Tokenizer | None:
+    """The tokenizer without the rules that leave a run of letters as it is.
+
+    None, if the file has other rules than those that are known to do so, or a
+    special string that letters and punctuation could hold.
+    """
+    rules = json.loads(tokenizer(path).to_str())
+    cut, *others = (rules["pre_tokenizer"] or {}).get("pretokenizers") or [{}]
+    known = (rules["normalizer"] or {}).get("normalizers") == KNOWN_RULES
+    known = known and cut.get("type") == "Split" and cut["pattern"].get("Regex", "").endswith(LETTER_RUNS)
+    special = [t.content.encode() for t in tokenizer(path).get_added_tokens_decoder().values()]
+    if not known or any(LETTERS_TAIL.fullmatch(b"a" + s.lower()) for s in special):
+        return None
+    rules["normalizer"], rules["added_tokens"] = None, []
+    rules["pre_tokenizer"]["pretokenizers"] = others
+    return Tokenizer.from_str(json.dumps(rules))
+
+
+def packed_ids(encoder: Tokenizer, words: list[bytes]) -> list[bytes]:
+    found = encoder.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
+    return [struct.pack(f"<{len(ids)}I", *ids) for ids in (e.ids for e in found)]
+
+
+def encode_words(path: str, words: list[bytes], memo: dict[bytes, bytes] | None = None) -> list[bytes]:
+    """Ids of each word as little-endian unsigned 32-bit integers.
+
+    Letters and the punctuation behind them are encoded apart, so words that
+    differ in punctuation share the work; ``memo`` remembers such parts.
+    """
+    memo = {} if memo is None else memo
+    bare = bare_tokenizer(path)
+    matches = [LETTERS_TAIL.fullmatch(w) if bare else None for w in words]
+    pairs = [m.groups() if m else (w, b"") for w, m in zip(words, matches, strict=True)]
+    letters = list({m[1] for m in matches if m}.difference(memo))
+    if letters:
+        memo.update(zip(letters, packed_ids(bare, letters), strict=True))
+    rest = list({part for pair in pairs for part in pair}.difference(memo))
+    memo.update(zip(rest, packed_ids(tokenizer(path), rest), strict=True))
+    return [memo[run] + memo[tail] for run, tail in pairs]
 
 
 class WordIds:
@@ -79,13 +123,17 @@ class WordIds:
         if len(self.memo) > self.limit:
             self.memo.clear()
         new = list(set().union(*split).difference(self.memo))
-        self.memo.update(zip(new, encode_words(self.path, new), strict=True))
+        self.memo.update(zip(new, encode_words(self.path, new, self.memo), strict=True))
         get = self.memo.__getitem__
         return [b"".join(map(get, words)) for words in split]
 
 
 @lru_cache(maxsize=2)
 def word_ids(path: str) -> WordIds:
-    """One per Python worker and vocabulary, so that tasks share what it remembers."""
+    """One per Python worker and vocabulary, so that tasks share what it remembers.
+
+    Words make no reference cycles, so the worker's collector may look seldom.
+    """
+    gc.set_threshold(500_000, 50)
     return WordIds(path)
 

@@ -62,3 +62,9 @@ def test_query(spark, small):
     for r in spark.read.parquet(f"{small}/documents.parquet").collect():
         n = len(whole(r.text or ""))
         assert got[r.doc_id] == (len((r.text or "").encode()), n, n > 2048)
+
+
+def test_letters_and_punctuation_apart_are_the_word():
+    cases = [a + b for a in ("a", "don", "größe", "ñÿß", "µm", "é", "×", "éİ") for b in ("", ".", "'s", "$$$", "<|", "'", "<|endoftext|>")]
+    got = WordIds(PATH).blobs(cases)
+    assert [list(memoryview(b).cast("I")) for b in got] == [whole(c) for c in cases]
