@@ -25,9 +25,11 @@ from qirtas.llm import common
 from qirtas.llm.words import WordIds, encode_words, split_words, tokenizer
 from qirtas.storage import materialize
 
-# At most so many words of at most so many bytes are broadcast: about 20 MB.
-HOT_WORDS = 200_000
+# At most so many words of at most so many bytes are broadcast: 20 MB, 60 MB at the worst.
+HOT_WORDS = 600_000
 HOT_BYTES = 64
+# Numbers of occurrences are told apart up to this one when the frequent words are chosen.
+COUNTED = 4_096
 # A counting task hands on what it has when it has met so many distinct words.
 FLUSH_WORDS = 200_000
 
@@ -77,19 +79,19 @@ def word_table(df: DataFrame, path: str, text: str = "text") -> DataFrame:
 def frequent(table: DataFrame, limit: int) -> list[tuple[str, bytes]]:
     """The most frequent short words, at most ``limit``, most frequent first.
 
-    The cut is the smallest power of two that few enough words reach.
+    All words that occur equally often are in or out together.
     """
     short = table.filter(F.octet_length("word") <= HOT_BYTES)
-    bits = F.length(F.bin("n"))
-    sizes = {r[0]: r[1] for r in short.groupBy(bits).count().collect()}
-    cut, size = 63, 0
-    for n in range(63, 0, -1):
-        size += sizes.get(n, 0)
+    often = F.least("n", F.lit(COUNTED))
+    sizes = {r[0]: r[1] for r in short.groupBy(often).count().collect()}
+    cut, size = COUNTED + 1, 0
+    for n in sorted(sizes, reverse=True):
+        size += sizes[n]
         if size > limit:
             break
         cut = n
-    rows = short.filter(F.col("n") >= (1 << (cut - 1))).select("word", "ids", "n").collect()
-    return [(r.word, bytes(r.ids)) for r in sorted(rows, key=lambda r: (-r.n, r.word))]
+    rows = short.filter(often >= cut).select("n", "word", "ids").toArrow().sort_by([("n", "descending"), ("word", "ascending")])
+    return list(zip(rows["word"].to_pylist(), rows["ids"].to_pylist(), strict=True))
 
 
 def pack_numbers(values: np.ndarray) -> bytes:
