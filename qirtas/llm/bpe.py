@@ -1,10 +1,13 @@
 """Byte-pair encoding and decoding through a table of distinct words.
 
 1. Texts are split into words; words are counted, partly before the shuffle.
-2. Each distinct word is encoded once, into a written table word -> ids.
+2. Each distinct word is encoded once: those met more than once into a written
+   table word -> ids, the others where they stand.  A bitmap of fixed size tells
+   a task which words may be in the table.
 3. The ids come back by position.  The most frequent words, a bounded number,
    are broadcast, so their occurrences never move.  The others are joined word by
-   word and meet their document, whose frequent words stand there as ranks.
+   word and meet their document, whose frequent words stand there as ranks and
+   whose own words as ids.
 4. Decoding looks each id up in the id-to-piece table of the vocabulary.
 """
 
@@ -14,14 +17,17 @@ import hashlib
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from qirtas.llm import common
+from qirtas.llm.ngram_join import bitmap, marked
 from qirtas.llm.words import WordIds, encode_words, split_words, tokenizer
 from qirtas.storage import materialize
 
@@ -30,6 +36,10 @@ HOT_WORDS = 600_000
 HOT_BYTES = 64
 # Numbers of occurrences are told apart up to this one when the frequent words are chosen.
 COUNTED = 4_096
+# Bits that mark the hashes of the table's words: 4 MB, whatever the data.
+WORD_BITS = 25
+# What stands for a word that is not broadcast: its ids come from the table, or stand beside.
+FROM_TABLE, BESIDE, FIRST_RANK = 0, 1, 2
 # A counting task hands on what it has when it has met so many distinct words.
 FLUSH_WORDS = 200_000
 
@@ -64,15 +74,15 @@ def count_words(df: DataFrame, path: str, text: str) -> DataFrame:
     return partial.groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def word_table(df: DataFrame, path: str, text: str = "text") -> DataFrame:
-    """Written table: each distinct word, its occurrences, its ids (4 bytes each)."""
+def word_table(df: DataFrame, path: str, text: str = "text", least: int = 1) -> DataFrame:
+    """Written table: each distinct word met ``least`` times, its occurrences, its ids (4 bytes each)."""
 
     def work(columns: list[list]) -> list[list]:
         words, n = columns
         return [words, n, encode_words(path, [w.encode() for w in words])]
 
     schema = pa.schema([("word", pa.string()), ("n", pa.int64()), ("ids", pa.binary())])
-    counted = count_words(df, path, text)
+    counted = count_words(df, path, text).filter(F.col("n") >= least)
     return materialize(common.map_rows(counted, work, "word string, n long, ids binary", schema), "words")
 
 
@@ -115,6 +125,40 @@ def unpack_numbers(blob: bytes) -> np.ndarray:
     return np.add.reduceat((raw & 127).astype(np.int64) << 7 * place, begins)
 
 
+def pack_blobs(blobs: list[bytes]) -> bytes:
+    """The ids of each word behind their number, as packed numbers."""
+    numbers: list[int] = []
+    for blob in blobs:
+        numbers.append(len(blob) // 4)
+        numbers += memoryview(blob).cast("I")
+    return pack_numbers(np.array(numbers, np.int64))
+
+
+def unpack_blobs(packed: bytes) -> list[bytes]:
+    numbers = unpack_numbers(packed)
+    raw, sizes, out, k = numbers.astype("<u4").tobytes(), numbers.tolist(), [], 0
+    while k < len(sizes):
+        out.append(raw[4 * k + 4 : 4 * (k + 1 + sizes[k])])
+        k += 1 + sizes[k]
+    return out
+
+
+def word_hashes(words: list[bytes]) -> np.ndarray:
+    """Spark's ``xxhash64`` of the words."""
+    return np.fromiter((xxhash.xxh64_intdigest(w, 42) for w in words), np.uint64, len(words))
+
+
+def classified(texts: list[str | None], marks: tuple[bytes, ...], rank: dict, cells: np.ndarray):
+    """All words of the texts, what stands for each, and where each text begins."""
+    split = [split_words(t, marks) for t in texts]
+    words = list(chain.from_iterable(split))
+    get = rank.get
+    codes = np.fromiter((get(w, FROM_TABLE) for w in words), np.int64, len(words))
+    at = np.flatnonzero(codes == FROM_TABLE)
+    codes[at[~marked(cells, word_hashes([words[k] for k in at.tolist()]))]] = BESIDE
+    return words, codes, np.cumsum([0, *map(len, split)])
+
+
 @lru_cache(maxsize=2)
 def id_to_piece(path: str) -> tuple[np.ndarray, object]:
     """The piece of each id, as many as the vocabulary has, and its joining rule if any."""
@@ -139,56 +183,57 @@ def encode(
     """
     spark = df.sparkSession
     marks = WordIds(path).marks
-    table = word_table(df, path, text)
+    table = word_table(df, path, text, least=2)
     hot = frequent(table, hot_words)
-    rank = spark.sparkContext.broadcast({w.encode(): k + 1 for k, (w, _) in enumerate(hot)})
-    blobs = spark.sparkContext.broadcast([b"", *[ids for _, ids in hot]])
+    rank = spark.sparkContext.broadcast({w.encode(): k + FIRST_RANK for k, (w, _) in enumerate(hot)})
+    blobs = spark.sparkContext.broadcast([ids for _, ids in hot])
+    cells = spark.sparkContext.broadcast(bitmap(table.select(F.xxhash64("word").alias("hash")), "hash", WORD_BITS))
     rows = df.select(F.col(key).alias("_key"), text_key(text).alias("_text"), text)
     declared, field = common.key_field(rows, "_key")
 
     def rare(columns: list[list]) -> list[list]:
-        out: list[list] = [[], [], [], []]
-        known = rank.value
-        for k, h, t in zip(*columns, strict=True):
-            for at, word in enumerate(split_words(t, marks)):
-                if word not in known:
-                    for values, v in zip(out, (k, h, at, word.decode()), strict=True):
-                        values.append(v)
-        return out
+        words, codes, begin = classified(columns[2], marks, rank.value, cells.value)
+        at = np.flatnonzero(codes == FROM_TABLE)
+        row = np.searchsorted(begin, at, "right") - 1
+        place, row = (at - begin[row]).tolist(), row.tolist()
+        return [[columns[0][r] for r in row], [columns[1][r] for r in row], place, [words[k].decode() for k in at.tolist()]]
 
     def ranks(columns: list[list]) -> list[list]:
-        get = rank.value.get
-        coded = []
-        for t in columns[2]:
-            words = split_words(t, marks)
-            coded.append(pack_numbers(np.fromiter((get(w, 0) for w in words), np.int64, len(words))))
-        return [columns[0], columns[1], coded]
+        words, codes, begin = classified(columns[2], marks, rank.value, cells.value)
+        at = np.flatnonzero(codes == BESIDE)
+        found = encode_words(path, [words[k] for k in at.tolist()])
+        cut = np.searchsorted(at, begin).tolist()
+        coded = [pack_numbers(codes[i:j]) for i, j in zip(begin, begin[1:], strict=False)]
+        return [columns[0], columns[1], coded, [pack_blobs(found[i:j]) for i, j in zip(cut, cut[1:], strict=False)]]
 
     occurrences = common.map_rows(
         rows, rare, f"{declared}, _text long, at int, word string",
         pa.schema([field, ("_text", pa.int64()), ("at", pa.int32()), ("word", pa.string())]),
     )
+    # A word met once may fall on a marked bit: it comes back as it went and is encoded then.
+    unknown = F.when(F.col("ids").isNull(), F.col("word")).alias("word")
     returned = (
-        occurrences.join(table.select("word", "ids"), "word")
+        occurrences.join(table.select("word", "ids").hint("shuffle_merge"), "word", "left")
         .groupBy(F.col("_key").alias("_rare_key"), F.col("_text").alias("_rare_text"))
-        .agg(F.collect_list(F.struct("at", "ids")).alias("rare"))
+        .agg(F.collect_list(F.struct("at", "ids", unknown)).alias("rare"))
     )
     coded = common.map_rows(
-        rows, ranks, f"{declared}, _text long, coded binary",
-        pa.schema([field, ("_text", pa.int64()), ("coded", pa.binary())]),
+        rows, ranks, f"{declared}, _text long, coded binary, beside binary",
+        pa.schema([field, ("_text", pa.int64()), ("coded", pa.binary()), ("beside", pa.binary())]),
     )
     same = F.col("_key").eqNullSafe(F.col("_rare_key")) & (F.col("_text") == F.col("_rare_text"))
     met = coded.join(returned.hint("shuffle_merge"), same, "left").select(
-        "_key", "coded", F.col("rare.at").alias("at"), F.col("rare.ids").alias("ids")
+        "_key", "coded", "beside", F.col("rare.at").alias("at"), F.col("rare.ids").alias("ids"), F.col("rare.word").alias("word")
     )
 
     def fill(columns: list[list]) -> list[list]:
         of = blobs.value
         out = []
-        for code, at, ids in zip(*columns[1:], strict=True):
-            parts = [of[n] for n in unpack_numbers(code).tolist()]
-            for place, blob in zip(at or (), ids or (), strict=True):
-                parts[place] = blob
+        for code, beside, at, ids, word in zip(*columns[1:], strict=True):
+            own = iter(unpack_blobs(beside))
+            parts = [of[n - FIRST_RANK] if n >= FIRST_RANK else next(own) if n == BESIDE else b"" for n in unpack_numbers(code).tolist()]
+            for place, blob, unmet in zip(at or (), ids or (), word or (), strict=True):
+                parts[place] = blob if unmet is None else encode_words(path, [unmet.encode()])[0]
             out.append(b"".join(parts))
         return [columns[0], out]
 

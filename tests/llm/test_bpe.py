@@ -47,3 +47,23 @@ def test_query(spark, small):
     got = {r.doc_id: tuple(r)[1:] for r in bpe.op8_bpe(spark, small).collect()}
     docs = spark.read.parquet(f"{small}/documents.parquet").collect()
     assert got == {d.doc_id: expected(d.text) for d in docs}
+
+
+def test_blobs_round_trip():
+    cases = [b"", np.array([1, 49407], "<u4").tobytes(), np.array([300], "<u4").tobytes(), b""]
+    assert bpe.unpack_blobs(bpe.pack_blobs(cases)) == cases
+    assert bpe.unpack_blobs(bpe.pack_blobs([])) == []
+
+
+def test_hashes_are_those_of_spark(spark):
+    words = ["a", "größe", "x" * 100, "日本"]
+    rows = spark.createDataFrame([(w,) for w in words], "w string").selectExpr("w", "xxhash64(w) h").collect()
+    assert bpe.word_hashes([r.w.encode() for r in rows]).view(np.int64).tolist() == [r.h for r in rows]
+
+
+def test_full_bitmap_gives_the_same(spark, monkeypatch):
+    monkeypatch.setattr(bpe, "WORD_BITS", 6)
+    rows = [(k, t) for k, t in enumerate(texts(40, 80, 4))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: tuple(r)[1:] for r in bpe.digests(bpe.encode(df, PATH, hot_words=3), PATH).collect()}
+    assert got == {k: expected(t) for k, t in rows}
