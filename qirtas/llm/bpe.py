@@ -14,6 +14,7 @@
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
@@ -203,7 +204,7 @@ def encode(
         at = np.flatnonzero(codes == BESIDE)
         found = encode_words(path, [words[k] for k in at.tolist()])
         cut = np.searchsorted(at, begin).tolist()
-        coded = [pack_numbers(codes[i:j]) for i, j in zip(begin, begin[1:], strict=False)]
+        coded = [zlib.compress(pack_numbers(codes[i:j]), 1) for i, j in zip(begin, begin[1:], strict=False)]
         return [columns[0], columns[1], coded, [pack_blobs(found[i:j]) for i, j in zip(cut, cut[1:], strict=False)]]
 
     occurrences = common.map_rows(
@@ -231,7 +232,7 @@ def encode(
         out = []
         for code, beside, at, ids, word in zip(*columns[1:], strict=True):
             own = iter(unpack_blobs(beside))
-            parts = [of[n - FIRST_RANK] if n >= FIRST_RANK else next(own) if n == BESIDE else b"" for n in unpack_numbers(code).tolist()]
+            parts = [of[n - FIRST_RANK] if n >= FIRST_RANK else next(own) if n == BESIDE else b"" for n in unpack_numbers(zlib.decompress(code)).tolist()]
             for place, blob, unmet in zip(at or (), ids or (), word or (), strict=True):
                 parts[place] = blob if unmet is None else encode_words(path, [unmet.encode()])[0]
             out.append(b"".join(parts))
