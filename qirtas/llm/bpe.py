@@ -57,12 +57,12 @@ def count_words(df: DataFrame, path: str, text: str) -> DataFrame:
         counts: Counter[bytes] = Counter()
 
         def flush() -> pa.RecordBatch:
-            # Like beside like, so that the shuffle's compression finds what they share.
-            words = sorted(sorted(counts), key=len)
-            words.sort(key=lambda w: min(counts[w], 3))
-            n = pa.array([counts[w] for w in words], pa.int64())
+            words = pa.array(list(counts), pa.binary()).cast(pa.string())
+            out = pa.RecordBatch.from_arrays(
+                [words, pa.array(list(counts.values()), pa.int64())], ["word", "n"]
+            )
             counts.clear()
-            return pa.RecordBatch.from_arrays([pa.array(words, pa.binary()).cast(pa.string()), n], ["word", "n"])
+            return out
 
         for (texts,) in common.slices(batches):
             for t in texts:
