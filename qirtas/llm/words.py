@@ -43,11 +43,23 @@ def drops_white_space(path: str) -> bool:
     return spaced and ids("aB") == ids("ab") and not ids(" \n")
 
 
+# A capital that may compose with what follows, and then into a letter that is
+# lower-cased (or not, as J with U+030C) as a whole.
+COMPOSING = re.compile(rb"[A-Z](?=[\x80-\xff])")
+
+
 def split_words(text: str | None, marks: tuple[bytes, ...]) -> list[bytes]:
-    """Runs without ASCII white space, A-Z lower-cased unless a special string may occur."""
+    """Runs without ASCII white space, A-Z lower-cased unless a special string may occur.
+
+    The vocabulary composes first and lower-cases last, so a capital before
+    anything but ASCII stays for it to do.
+    """
     raw = (text or "").encode()
     if not any(m in raw for m in marks):
-        raw = raw.lower()
+        lower = bytearray(raw.lower())
+        for m in COMPOSING.finditer(raw):
+            lower[m.start()] = raw[m.start()]
+        raw = bytes(lower)
     return raw.split()
 
 

@@ -8,7 +8,7 @@ import pytest
 
 from qirtas.llm import bpe
 from qirtas.llm.words import tokenizer
-from tests.llm.test_token_counts import texts
+from tests.llm.test_token_counts import COMPOSING, texts
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
@@ -67,3 +67,11 @@ def test_full_bitmap_gives_the_same(spark, monkeypatch):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r.doc_id: tuple(r)[1:] for r in bpe.digests(bpe.encode(df, PATH, hot_words=3), PATH).collect()}
     assert got == {k: expected(t) for k, t in rows}
+
+
+@pytest.mark.parametrize("hot", [0, 1000])
+def test_capitals_that_compose(spark, hot):
+    rows = [(k, f"A{c}r {c} {c}r Be") for k, c in enumerate([*COMPOSING, *COMPOSING])]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: tuple(r)[1:] for r in bpe.digests(bpe.encode(df, PATH, hot_words=hot), PATH).collect()}
+    assert got == {k: expected(t) for k, t in rows}

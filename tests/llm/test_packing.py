@@ -9,6 +9,7 @@ import pytest
 
 from qirtas.llm import packing
 from qirtas.llm.words import tokenizer
+from tests.llm.test_token_counts import COMPOSING
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
@@ -76,3 +77,11 @@ def test_query(spark, small):
         assert at == len(ids)
     used = sum(r.length for r in got)
     assert used / (2048 * len(sequences)) > 0.97
+
+
+def test_capitals_that_compose(spark):
+    df = spark.createDataFrame([(k, f"A{c}r Be") for k, c in enumerate(COMPOSING)], "doc_id long, text string")
+    got = {r.doc_id: (r.length, r.ids_crc32) for r in packing.pack(df, PATH, capacity=64).collect()}
+    for k, c in enumerate(COMPOSING):
+        ids = np.asarray([*tokenizer(PATH).encode(f"A{c}r Be", add_special_tokens=False).ids, 1], "<u4")
+        assert got[k] == (len(ids), zlib.crc32(ids.tobytes()))

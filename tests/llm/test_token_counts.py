@@ -68,3 +68,16 @@ def test_letters_and_punctuation_apart_are_the_word():
     cases = [a + b for a in ("a", "don", "größe", "ñÿß", "µm", "é", "×", "éİ") for b in ("", ".", "'s", "$$$", "<|", "'", "<|endoftext|>")]
     got = WordIds(PATH).blobs(cases)
     assert [list(memoryview(b).cast("I")) for b in got] == [whole(c) for c in cases]
+
+
+# Capitals whose composite exists in lower case only, and some that compose behind another mark.
+COMPOSING = ["H\u0331", "J\u030c", "T\u0308", "W\u030a", "Y\u030a", "T\u0344"]
+
+
+def test_capitals_that_compose(spark):
+    cases = [a + c + b for c in [*COMPOSING, "H\u05b0\u0331", "\u00c9J\u030cA"] for a in ("", "Wa", "Le ") for b in ("", "r", "R.", " End")]
+    got = WordIds(PATH).blobs(cases)
+    assert [list(memoryview(b).cast("I")) for b in got] == [whole(c) for c in cases]
+    df = spark.createDataFrame(list(enumerate(cases)), "doc_id long, text string")
+    sizes = [{r.doc_id: r.n_tokens for r in tc.count_tokens(df, PATH, chunk=n).collect()} for n in (tc.CHUNK, 1)]
+    assert sizes[0] == sizes[1] == {k: len(whole(c)) for k, c in enumerate(cases)}
