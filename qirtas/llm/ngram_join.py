@@ -229,11 +229,10 @@ def filtered(pairs: DataFrame, profiles: DataFrame, threshold: int) -> DataFrame
     return common.map_rows(met.select("a", "b", "of_a", "of_b"), work, "a long, b long", PAIR)
 
 
-def verified(pairs: DataFrame, df: DataFrame, text: str, threshold: int) -> DataFrame:
-    """The pairs whose whole sets, computed again from the texts, reach the threshold."""
+def whole_sets(wanted: DataFrame, df: DataFrame, text: str) -> DataFrame:
+    """(cid, tokens) of the classes in ``wanted``, computed again from the texts."""
     spark = df.sparkSession
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct()
-    wanted = materialize(wanted, "wanted")
+    wanted = materialize(wanted.distinct(), "wanted")
     cells = spark.sparkContext.broadcast(bitmap(wanted, "cid", CLASS_BITS))
     schema = pa.schema([("cid", pa.int64()), ("tokens", pa.binary())])
 
@@ -250,6 +249,12 @@ def verified(pairs: DataFrame, df: DataFrame, text: str, threshold: int) -> Data
     sets = common.map_rows(df.select(text), work, "cid long, tokens binary", schema)
     sets = materialize(sets.join(wanted.hint("shuffle_merge"), "cid", "left_semi").dropDuplicates(["cid"]), "sets")
     cells.destroy()
+    return sets
+
+
+def verified(pairs: DataFrame, df: DataFrame, text: str, threshold: int) -> DataFrame:
+    """The pairs whose whole sets reach the threshold."""
+    sets = whole_sets(pairs.select(F.explode(F.array("a", "b")).alias("cid")), df, text)
     met = pairs.join(sets.select(F.col("cid").alias("a"), F.col("tokens").alias("x")).hint("shuffle_merge"), "a").join(
         sets.select(F.col("cid").alias("b"), F.col("tokens").alias("y")).hint("shuffle_merge"), "b"
     )
@@ -353,13 +358,10 @@ def tile_pairs(rows: DataFrame, threshold: int) -> DataFrame:
     return ordered.mapInArrow(run, "a long, b long")
 
 
-def join(
-    df: DataFrame, key: str = "doc_id", text: str = "text", threshold: int = THRESHOLD, tile: int = TILE
-) -> tuple[DataFrame, DataFrame]:
-    """Written tables: rows (key, n, cid) and links (a, b) between classes.
+def buckets(df: DataFrame, key: str, text: str, threshold: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Written tables: rows (key, n, cid), profiles of the classes, and groups (pivot, cid).
 
-    Linked classes are exactly those that are connected by links at the
-    threshold; of the links among classes already connected only some are given.
+    Classes that link are together in a group.
     """
     spark = df.sparkSession
     shared = token_rows(df, text, threshold).groupBy("token").agg(F.count("*").alias("df")).filter("df > 1")
@@ -398,6 +400,18 @@ def join(
     )
     # Who was in a bucket with which pivot, the pivots themselves too; buckets of one pivot fall together.
     groups = materialize(postings.join(pivots.hint("shuffle_merge"), "token").select("pivot", "cid").distinct(), "groups")
+    return docs, profiles, groups
+
+
+def connected(
+    df: DataFrame, key: str = "doc_id", text: str = "text", threshold: int = THRESHOLD, tile: int = TILE
+) -> tuple[DataFrame, DataFrame]:
+    """Written tables: rows (key, n, cid) and links (a, b) that connect what is connected.
+
+    For components only: of the links among classes already connected just some
+    are given.  ``join`` gives all.
+    """
+    docs, profiles, groups = buckets(df, key, text, threshold)
     with_pivot = groups.filter("cid != pivot").select(F.col("cid").alias("a"), F.col("pivot").alias("b"))
     candidates = materialize(filtered(with_pivot, profiles, threshold), "candidates")
     near = verified(candidates, df, text, threshold)
@@ -415,6 +429,238 @@ def join(
     return docs.select(key, "n", "cid"), near.unionByName(far)
 
 
+def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many tokens each set of ``left`` has in common with each of ``right``."""
+    shape = len(left), len(right)
+    vocabulary, at = np.unique(np.concatenate(right), return_inverse=True)
+    of = np.repeat(np.arange(shape[1]), [len(x) for x in right])
+    own = np.concatenate(left)
+    who = np.repeat(np.arange(shape[0]), [len(x) for x in left])
+    if not len(own) or not len(vocabulary):
+        return np.zeros(shape, np.int64)
+    place = np.minimum(np.searchsorted(vocabulary, own), len(vocabulary) - 1)
+    met = vocabulary[place] == own
+    place, who = place[met], who[met]
+    times, meets = np.bincount(place, minlength=len(vocabulary)), np.bincount(at, minlength=len(vocabulary))
+    # Tokens that many sets have: by matrices; the others pair by pair.
+    heavy = times * meets * 32 > shape[0] * shape[1]
+    heavy &= times * meets > 64
+    out = np.zeros(shape, np.int64)
+    many = np.flatnonzero(heavy)
+    column = np.cumsum(heavy) - 1
+    for first in range(0, len(many), 2048):
+        sides = []
+        for rows, where, size in ((who, place, shape[0]), (of, at, shape[1])):
+            here = heavy[where] & (column[where] >= first) & (column[where] < first + 2048)
+            dense = np.zeros((size, min(2048, len(many) - first)), np.float32)
+            dense[rows[here], column[where[here]] - first] = 1
+            sides.append(dense)
+        out += (sides[0] @ sides[1].T).astype(np.int64)
+    place, who = place[~heavy[place]], who[~heavy[place]]
+    order = np.argsort(at, kind="stable")
+    begin, counts = (np.cumsum(meets) - meets)[place], meets[place]
+    hits = np.cumsum(counts)
+    for first, last in parts(hits, 1 << 22):
+        some = counts[first:last]
+        found = np.repeat(begin[first:last] - np.cumsum(some) + some, some) + np.arange(some.sum())
+        cells = np.repeat(who[first:last], some) * shape[1] + of[order[found]]
+        out += np.bincount(cells, minlength=shape[0] * shape[1]).reshape(shape)
+    return out
+
+
+def parts(sums: np.ndarray, size: int) -> Iterator[tuple[int, int]]:
+    """Ranges of about ``size`` by these running sums, one number at least in each."""
+    first = 0
+    while first < len(sums):
+        before = sums[first - 1] if first else 0
+        last = max(int(np.searchsorted(sums, before + size, "right")), first + 1)
+        yield first, last
+        first = last
+
+
+Tile = dict[str, np.ndarray | list[np.ndarray]]
+
+
+def not_yet_met(a: Tile, b: Tile, same: bool, threshold: int) -> np.ndarray:
+    """Pairs of fitting sizes that no group of a smaller pivot has."""
+    fits = 100 * np.minimum.outer(a["n"], b["n"]) >= threshold * np.maximum.outer(a["n"], b["n"])
+    if same:
+        np.fill_diagonal(fits, False)
+    if fits.any():
+        fits &= overlaps(a["below"], b["below"]) == 0
+    return fits
+
+
+def candidates_of(a: Tile, b: Tile, same: bool, threshold: int) -> np.ndarray:
+    """Pairs that pass the overlap bound and share a token in the prefixes by hash."""
+    fits = not_yet_met(a, b, same, threshold)
+    if fits.any():
+        in_range = lambda t: [x[: np.searchsorted(x, _LIMIT.astype(np.int64))] for x in t["tokens"]]
+        most = overlaps(in_range(a), in_range(b)) + np.minimum.outer(a["n"] - a["low"], b["n"] - b["low"])
+        fits &= (100 + threshold) * most >= threshold * np.add.outer(a["n"], b["n"])
+    if fits.any():
+        prefix = lambda t: [x[: np.searchsorted(x, e, "right")] for x, e in zip(t["tokens"], t["edge2"], strict=True)]
+        fits &= overlaps(prefix(a), prefix(b)) > 0
+    return fits
+
+
+def links_of(a: Tile, b: Tile, same: bool, threshold: int) -> np.ndarray:
+    """Pairs whose whole sets reach the threshold."""
+    fits = not_yet_met(a, b, same, threshold)
+    if fits.any():
+        both = overlaps(a["tokens"], b["tokens"])
+        fits &= 100 * both >= threshold * (np.add.outer(a["n"], b["n"]) - both)
+    return fits
+
+
+def roots_of(fits: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For the members of both sides the smallest that links reach."""
+    none = np.iinfo(np.int64).max
+    a, b = a.copy(), b.copy()
+    while True:
+        to_a = np.minimum(a, np.where(fits, b[None, :], none).min(1))
+        to_b = np.minimum(b, np.where(fits, to_a[:, None], none).min(0))
+        if (to_a == a).all() and (to_b == b).all():
+            return a, b
+        a, b = to_a, to_b
+
+
+def survivors(tile: Tile, a: Tile, b: Tile, fits: np.ndarray, same: bool) -> list[np.ndarray]:
+    """(pivot, i, j, first, cid) of the members that are in a pair."""
+    sides = [a["cid"][fits.any(1)], a["cid"][:0] if same else b["cid"][fits.any(0)]]
+    size = [len(x) for x in sides]
+    return [*[np.full(sum(size), v, np.int64) for v in tile], np.repeat([1, 0], size), np.concatenate(sides)]
+
+
+def stars(tile: Tile, a: Tile, b: Tile, fits: np.ndarray, same: bool) -> list[np.ndarray]:
+    """(cid, root, n_links) of the members that link: a member they reach, how many link here."""
+    of_a, of_b = roots_of(fits, a["cid"], b["cid"])
+    sides = [(a["cid"], of_a, fits.sum(1))] + ([] if same else [(b["cid"], of_b, fits.sum(0))])
+    return [np.concatenate(c) for c in zip(*[[c[s[2] > 0] for c in s] for s in sides], strict=True)]
+
+
+def every_pair(tile: Tile, a: Tile, b: Tile, fits: np.ndarray, same: bool) -> list[np.ndarray]:
+    """(a, b) of each pair, the smaller first."""
+    i, j = np.nonzero(np.triu(fits) if same else fits)
+    x, y = a["cid"][i], b["cid"][j]
+    return [np.minimum(x, y), np.maximum(x, y)]
+
+
+def by_tile(rows: DataFrame, columns: list[str], judge, report, names: list[str], threshold: int) -> DataFrame:
+    """``report`` of the pairs that ``judge`` finds in each tile of ``rows``; all results are longs.
+
+    ``rows`` have pivot, i, j, first, cid, the numbers in ``columns``, and the
+    sorted lists ``below`` and ``tokens``.
+    """
+    head = ["pivot", "i", "j", "first", "cid", *columns]
+    schema = pa.schema([(n, pa.int64()) for n in names])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def result(pieces: list) -> pa.RecordBatch:
+            first = np.concatenate([p[0][3] for p in pieces]) == 1
+            numbers = {n: np.concatenate([p[0][k] for p in pieces]) for k, n in enumerate(head)}
+            lists = {n: [x for p in pieces for x in p[k]] for k, n in ((1, "below"), (2, "tokens"))}
+
+            def side(mask: np.ndarray) -> Tile:
+                at = np.flatnonzero(mask)
+                return {n: v[at] for n, v in numbers.items()} | {n: [v[k] for k in at] for n, v in lists.items()}
+
+            tile = [numbers[n][0] for n in head[:3]]
+            same = tile[1] == tile[2]
+            a = side(first)
+            b = a if same else side(~first)
+            found = [np.zeros(0, np.int64)] * len(names)
+            if len(a["cid"]) and len(b["cid"]):
+                fits = judge(a, b, same, threshold)
+                if fits.any():
+                    found = report(tile, a, b, fits, same)
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in found], schema=schema)
+
+        def lists(column: pa.Array) -> list[np.ndarray]:
+            ends, values = column.offsets.to_numpy(), column.values.to_numpy()
+            return [values[x:y] for x, y in zip(ends[:-1], ends[1:], strict=True)]
+
+        pieces, at, kept, size = [], None, [], 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            numbers = [batch.column(k).to_numpy() for k in range(len(head))]
+            below, tokens = lists(batch.column(len(head))), batch.column(len(head) + 1)
+            tokens = [np.frombuffer(t.as_buffer(), np.int64) for t in tokens] if pa.types.is_binary(tokens.type) else lists(tokens)
+            new = np.flatnonzero((np.diff(numbers[0]) != 0) | (np.diff(numbers[1]) != 0) | (np.diff(numbers[2]) != 0)) + 1
+            for x, y in zip([0, *new], [*new, batch.num_rows], strict=True):
+                here = tuple(int(c[x]) for c in numbers[:3])
+                if pieces and here != at:
+                    kept.append(result(pieces))
+                    pieces, size = [], size + kept[-1].num_rows
+                    if size > 20_000:
+                        yield from pa.Table.from_batches(kept).combine_chunks().to_batches()
+                        kept, size = [], 0
+                at = here
+                pieces.append(([c[x:y] for c in numbers], below[x:y], tokens[x:y]))
+        if pieces:
+            kept.append(result(pieces))
+        if kept:
+            yield from pa.Table.from_batches(kept).combine_chunks().to_batches()
+
+    ordered = rows.select(*[F.col(c).cast("long") for c in head], "below", "tokens")
+    ordered = ordered.repartition("pivot", "i", "j").sortWithinPartitions("pivot", "i", "j")
+    return ordered.mapInArrow(run, ", ".join(f"{n} long" for n in names))
+
+
+def linked(
+    df: DataFrame, key: str, text: str, threshold: int, tile: int, report, names: list[str]
+) -> tuple[DataFrame, DataFrame]:
+    """Rows (key, n, cid), and what ``report`` makes of all links between classes.
+
+    Every pair of a group is looked at: by the filters first, and those members
+    that have a pair left again with their whole sets.  A pair that meets in
+    several groups counts in that of the smallest pivot.
+    """
+    docs, profiles, groups = buckets(df, key, text, threshold)
+    pivots = groups.groupBy("cid").agg(F.collect_list("pivot").alias("pivots"))
+    pivots = materialize(pivots, "pivots")
+
+    def below(rows: DataFrame) -> DataFrame:
+        smaller = F.sort_array(F.filter("pivots", lambda p: p < F.col("pivot")))
+        return rows.join(pivots.hint("shuffle_merge"), "cid").withColumn("below", smaller)
+
+    all_apart = groups.withColumn("label", F.col("cid")).withColumn("home", F.lit(False))
+    rows = below(tile_rows(all_apart, profiles, tile)).withColumnRenamed("shared", "tokens")
+    near = by_tile(rows, ["n", "low", "edge2"], candidates_of, survivors, ["pivot", "i", "j", "first", "cid"], threshold)
+    near = materialize(near, "near")
+    sets = whole_sets(near.select("cid"), df, text).withColumn("n", F.expr("octet_length(tokens) div 8"))
+    rows = below(near).join(sets.hint("shuffle_merge"), "cid")
+    return docs.select(key, "n", "cid"), materialize(by_tile(rows, ["n"], links_of, report, names, threshold), "linked")
+
+
+def join(
+    df: DataFrame, key: str = "doc_id", text: str = "text", threshold: int = THRESHOLD, tile: int = TILE
+) -> tuple[DataFrame, DataFrame]:
+    """Written tables: rows (key, n, cid) and all links (a, b), a < b, between different classes.
+
+    A group of m near copies has up to m * m / 2 links; ``near_duplicate_links`` counts them instead.
+    """
+    return linked(df, key, text, threshold, tile, every_pair, ["a", "b"])
+
+
+def near_duplicate_links(
+    df: DataFrame, key: str = "doc_id", text: str = "text", threshold: int = THRESHOLD, tile: int = TILE
+) -> DataFrame:
+    """As ``near_duplicates``, and n_links: with how many classes of other texts the row's class links.
+
+    A row without shingles has none.
+    """
+    docs, found = linked(df, key, text, threshold, tile, stars, ["cid", "root", "n_links"])
+    named = with_components(docs, found.select(F.col("cid").alias("a"), F.col("root").alias("b")), key)
+    counted = found.groupBy("cid").agg(F.sum("n_links").alias("n_links"))
+    return (
+        named.join(counted.hint("shuffle_merge"), "cid", "left")
+        .withColumn("n_links", F.coalesce("n_links", F.lit(0).cast("long")))
+        .drop("cid")
+    )
+
+
 def near_duplicates(
     df: DataFrame, key: str = "doc_id", text: str = "text", threshold: int = THRESHOLD, tile: int = TILE
 ) -> DataFrame:
@@ -425,7 +671,12 @@ def near_duplicates(
     null key link like others, but a null is never the smallest key unless no
     other is reachable.  Rows repeated as a whole come out as often as they came in.
     """
-    docs, found = join(df, key, text, threshold, tile)
+    docs, found = connected(df, key, text, threshold, tile)
+    return with_components(docs, found, key).drop("cid")
+
+
+def with_components(docs: DataFrame, found: DataFrame, key: str) -> DataFrame:
+    """key, n_shingles, component_id and cid of each row (key, n, cid) under these links."""
     roots = components(found)
     smallest = docs.filter("cid IS NOT NULL").groupBy("cid").agg(F.min(key).alias("own"))
     grouped = smallest.join(roots.withColumnRenamed("node", "cid"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
@@ -435,6 +686,7 @@ def near_duplicates(
         key,
         F.col("n").cast("long").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col(key)).alias("component_id"),
+        "cid",
     )
 
 
@@ -445,4 +697,4 @@ def one_of_each(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
 
 
 def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(common.table(spark, sf_dir, "documents"))
+    return near_duplicate_links(common.table(spark, sf_dir, "documents"))

@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 
 from qirtas.llm import ngram_join as nj
@@ -94,3 +95,36 @@ def test_components_of_chains(spark):
     assert len(got) == sum(map(len, parts))
     assert [len({got[i] for i in part}) for part in parts] == [1, 1, 1]
     assert len(set(got.values())) == 3
+
+
+def brute_links(rows):
+    """All pairs of different sets at the threshold."""
+    sets = sorted({s for _, t in rows if (s := plain_sets(t))}, key=sorted)
+    return {(a, b) for k, a in enumerate(sets) for b in sets[:k] if 100 * len(a & b) >= 75 * len(a | b)}
+
+
+@pytest.mark.parametrize("tile", [1000, 7])
+def test_every_link_is_counted(spark, tile):
+    rng = random.Random(4)
+    base = [f"w{i}" for i in range(70)]
+    rows = [(i, " ".join(edited(rng, base, rng.choice([0.0, 0.02, 0.05, 0.08])))) for i in range(150)]
+    rows += [(1000 + i, t) for i, t in planted(3, 100)]
+    pairs = brute_links(rows)
+    n_links = {i: sum(plain_sets(t) in p for p in pairs) for i, t in rows}
+    df = spark.createDataFrame([(*r, "clash", 0) for r in rows], "doc_id long, text string, cid string, n_links int")
+    got = nj.near_duplicate_links(df, tile=tile).collect()
+    assert {r.doc_id: r.n_links for r in got} == n_links and len(got) == len(rows)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute(rows)
+    docs, found = nj.join(df, tile=tile)
+    of = {r.doc_id: r.cid for r in docs.collect()}
+    texts = {plain_sets(t): of[i] for i, t in rows}
+    listed = [tuple(r) for r in found.collect()]
+    assert sorted(listed) == sorted((min(texts[a], texts[b]), max(texts[a], texts[b])) for a, b in pairs)
+
+
+def test_overlaps():
+    rng = np.random.default_rng(2)
+    for n, m, top in ((1, 1, 5), (40, 30, 60), (300, 200, 5000)):
+        left, right = ([np.unique(rng.integers(0, top, rng.integers(0, 50))) for _ in range(k)] for k in (n, m))
+        want = [[len(np.intersect1d(x, y)) for y in right] for x in left]
+        assert nj.overlaps(left, right).tolist() == want
