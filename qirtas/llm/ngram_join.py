@@ -160,22 +160,22 @@ def describe(tokens: np.ndarray, threshold: int) -> tuple[int, int | None, int,
 
 
 def doc_rows(df: DataFrame, key: str, text: str, threshold: int, cells) -> DataFrame:
-    """key, what ``describe`` says, and the emitted tokens that other texts may have."""
+    """key, digest of the text, what ``describe`` says, and the emitted tokens that other texts may have."""
     declared, field = common.key_field(df, key)
-    schema = pa.schema([field, *[(n, common.ARROW[t]) for n, t in DOC], ("tokens", pa.list_(pa.int64()))])
+    schema = pa.schema([field, ("digest", pa.int64()), *[(n, common.ARROW[t]) for n, t in DOC], ("tokens", pa.list_(pa.int64()))])
 
     def work(columns: list[list]) -> list[list]:
-        out: list[list] = [columns[0], *[[] for _ in DOC], []]
-        for t in columns[1]:
+        out: list[list] = [columns[0], columns[1], *[[] for _ in DOC], []]
+        for t in columns[2]:
             tokens = shingles(t)
-            for values, v in zip(out[1:-1], describe(tokens, threshold), strict=True):
+            for values, v in zip(out[2:-1], describe(tokens, threshold), strict=True):
                 values.append(v)
             known = tokens[: emitted(tokens, threshold)]
             out[-1].append(known[marked(cells.value, known)].view(np.int64))
         return out
 
-    spark_schema = ", ".join([declared, *[f"{n} {t}" for n, t in DOC], "tokens array<bigint>"])
-    return common.map_rows(df.select(key, text), work, spark_schema, schema)
+    spark_schema = ", ".join([declared, "digest bigint", *[f"{n} {t}" for n, t in DOC], "tokens array<bigint>"])
+    return common.map_rows(df.select(key, F.xxhash64(text), text), work, spark_schema, schema)
 
 
 def needed_overlap(n: int, m: int, threshold: int) -> int:
@@ -370,7 +370,7 @@ def buckets(df: DataFrame, key: str, text: str, threshold: int) -> tuple[DataFra
     docs = materialize(doc_rows(df, key, text, threshold, cells), "shingled")
     cells.destroy()
 
-    classes = docs.filter("n > 0").drop(key).dropDuplicates(["cid"])
+    classes = docs.filter("n > 0").drop(key, "digest").dropDuplicates(["cid"])
     counted = classes.withColumn("token", F.explode("tokens")).drop("tokens").join(shared.hint("shuffle_merge"), "token")
     # First order: the counted range, rarest first and then by hash; behind it by hash.
     beyond = F.col("token") >= F.lit(int(_LIMIT))
@@ -406,7 +406,7 @@ def buckets(df: DataFrame, key: str, text: str, threshold: int) -> tuple[DataFra
 def connected(
     df: DataFrame, key: str = "doc_id", text: str = "text", threshold: int = THRESHOLD, tile: int = TILE
 ) -> tuple[DataFrame, DataFrame]:
-    """Written tables: rows (key, n, cid) and links (a, b) that connect what is connected.
+    """Written tables: rows (key, digest, n, cid) and links (a, b) that connect what is connected.
 
     For components only: of the links among classes already connected just some
     are given.  ``join`` gives all.
@@ -426,7 +426,7 @@ def connected(
     )
     apart = tile_pairs(tile_rows(materialize(labelled.drop("_home"), "labelled"), profiles, tile), threshold).distinct()
     far = verified(materialize(apart, "apart"), df, text, threshold)
-    return docs.select(key, "n", "cid"), near.unionByName(far)
+    return docs.select(key, "digest", "n", "cid"), near.unionByName(far)
 
 
 def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
@@ -691,9 +691,21 @@ def with_components(docs: DataFrame, found: DataFrame, key: str) -> DataFrame:
 
 
 def one_of_each(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The row with the smallest key of each group; of rows that repeat it, one."""
-    marks = near_duplicates(df, key, text).filter(F.col(key).eqNullSafe(F.col("component_id"))).select(F.col(key).alias("_kept")).distinct()
-    return df.join(marks.hint("shuffle_merge"), F.col(key).eqNullSafe(F.col("_kept")), "left_semi").dropDuplicates([key])
+    """Of each group of linked rows one: the smallest key, a null last, and of its texts the smallest class.
+
+    Rows without shingles are linked with nothing.  Different texts that share a
+    key, or have none, are different rows; of rows equal in key and text one stays.
+    """
+    docs, found = connected(df, key, text)
+    roots = components(found).withColumnRenamed("node", "cid")
+    rooted = docs.filter("n > 0").join(roots.hint("shuffle_merge"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
+    order = F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("key"), F.col("cid").alias("cid"), F.col("digest").alias("digest"))
+    chosen = rooted.groupBy("root").agg(F.min(order).alias("best")).select(F.col("best.key").alias("_kept"), F.col("best.digest").alias("_text"))
+    alone = docs.filter("n = 0").select(F.col(key).alias("_kept"), F.col("digest").alias("_text")).distinct()
+    marks = chosen.unionByName(alone)
+    same = F.col(key).eqNullSafe(F.col("_kept")) & (F.col("_digest") == F.col("_text"))
+    rows = df.withColumn("_digest", F.xxhash64(text)).join(marks.hint("shuffle_merge"), same, "left_semi")
+    return rows.dropDuplicates([key, "_digest"]).drop("_digest")
 
 
 def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:

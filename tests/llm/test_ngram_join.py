@@ -128,3 +128,15 @@ def test_overlaps():
         left, right = ([np.unique(rng.integers(0, top, rng.integers(0, 50))) for _ in range(k)] for k in (n, m))
         want = [[len(np.intersect1d(x, y)) for y in right] for x in left]
         assert nj.overlaps(left, right).tolist() == want
+
+
+def test_one_of_each_keeps_null_and_repeated_ids(spark):
+    a, near, other = ("x " + " ".join(f"{c}{i}" for i in range(60)) for c in "aab")
+    rows = [(None, a), (2, near + " end"), (None, other), (None, "q r s"), (None, "q r s"), (None, "t u v"), (None, None), (None, ""), (9, None), (9, None),
+            (5, "one two three"), (5, "four five six"), (5, "four five six"), (7, "ONE two three"), (None, "l m n"), (None, "L  m n")]
+    df = spark.createDataFrame([(*r, "clash") for r in rows], "doc_id long, text string, cid string")
+    kept = nj.one_of_each(df)
+    got = sorted(map(str, [(r.doc_id, r.text) for r in kept.collect()]))
+    once = [g for g in got if "m n" not in g]
+    assert once == sorted(map(str, [(2, near + " end"), (None, other), (None, "q r s"), (None, "t u v"), (None, None), (None, ""), (9, None), (5, "one two three"), (5, "four five six")]))
+    assert len(got) == len(once) + 1 and kept.columns == df.columns
