@@ -189,7 +189,10 @@ def scored(pairs: DataFrame, k: int, floors: bool) -> DataFrame:
                 if number is not None:
                     yield result()
                 number, queries = q, pickle.loads(query_tree)
-                known = {} if not floor else {f["query_id"]: f["score"] for f in floor}
+                # k rows of an id's one vector bound what its others may add.
+                known: dict[int, float] = {}
+                for f in floor or []:
+                    known[f["query_id"]] = max(f["score"], known.get(f["query_id"], -np.inf))
                 best = Best(len(queries.ids), k, np.array([known.get(int(i), -np.inf) for i in queries.ids]))
             search(queries, pickle.loads(data_tree), best)
         if number is not None:
@@ -212,7 +215,8 @@ def top_k(
     null or a number that is not finite, and rows without a key take no part; empty
     vectors do, with products of 0.  Vectors of unlike length are not compared.
     Rows repeated as a whole count once; other rows of the query's own key are
-    never its neighbours.  Fewer than k candidates give fewer rows, an empty table none.
+    never its neighbours.  Different vectors of a query's key are one query: their
+    scores are ranked together, k rows for the key.  Fewer than k candidates give fewer rows, an empty table none.
 
     The first round searches the data blocks of a query block's own pivot; their
     kth scores are floors that prune blocks and nodes of the second round.
@@ -276,7 +280,11 @@ def top_k(
     # A block with a query that has not met k rows yet keeps all its pairs.
     open_ = F.col("known").isNull() | (F.col("known") < F.col("query_n"))
     kept = pairs.join(known, "q").filter(open_ | (F.col("bound") >= F.col("least")))
-    return scored(trees(kept), k, floors=True).drop("q")
+    # The vectors of a key may lie in several blocks.
+    of_key = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    found = scored(trees(kept), k, floors=True).drop("q", "rank")
+    ranked = found.withColumn("rank", F.row_number().over(of_key)).filter(F.col("rank") <= k)
+    return ranked.select("query_id", "rank", "vec_id", "score")
 
 
 def op10_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:

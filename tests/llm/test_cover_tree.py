@@ -63,3 +63,17 @@ def test_a_third_is_one_vector(spark):
     for q in range(0, 900, 50):
         want = sorted(((-int(s), i) for i, s in enumerate(ints @ ints[q]) if i != q))[:5]
         assert sorted(got[q]) == [(k + 1, i, -s) for k, (s, i) in enumerate(want)]
+
+
+def test_different_vectors_of_one_key(spark):
+    rng = np.random.default_rng(8)
+    rows = [(int(i), rng.normal(0, 0.3, 4).tolist()) for i in rng.integers(0, 120, 500)]
+    rows += [(50, [3.0, 0.0, 0.0, 0.0]), (50, [0.01, 0.0, 0.0, 0.0]), (50, [0.01, 0.0, 0.0, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = sorted(tuple(r) for r in ct.top_k(df, data_block=64, query_block=4, pivots=3).collect())
+    whole = {(i, tuple(np.floor(np.array(v, np.float32).astype(float) * 256).astype(int).tolist())) for i, v in rows}
+    want = []
+    for q in (0, 50, 100):
+        scores = sorted((-sum(a * b for a, b in zip(v, x, strict=True)), i) for j, v in whole if j == q for i, x in whole if i != q)[:5]
+        want += [(q, k + 1, i, -s) for k, (s, i) in enumerate(scores)]
+    assert got == want
