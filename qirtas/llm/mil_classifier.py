@@ -18,11 +18,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from qirtas.llm import common
+from qirtas.storage import materialize
 
 PASSAGE = 64
 # The fit reads at most so many labelled documents, those with the smallest digests.
 SAMPLE_DOCS = 6_000
-# ... and of each at most so many passages, evenly spaced.  Scoring reads them all.
+# ... and of these, in that order, whole ones while they have so many passages for each document at most.
 FIT_PASSAGES = 200
 HIDDEN, ATTENTION, EPOCHS, BATCH, RATE, DECAY = 16, 12, 40, 256, 0.01, 1e-4
 
@@ -194,8 +195,10 @@ def fit(
     """Learns from labelled rows whose crc32(key as text) mod 3 is not 1.
 
     At most ``sample_docs`` documents, those with the smallest digest of their key,
-    and evenly spaced passages of very long ones: a bounded sample, the only thing
-    collected.  Rows without key or label say nothing; repeated labels are averaged.
+    each with all its passages; one with which the sample would have more than
+    ``sample_docs * fit_passages`` of them is left out: a bounded sample, the only
+    thing collected.  Rows without key or label say nothing; repeated labels are
+    averaged, and of rows that share a key the text with the smallest digest counts.
     """
     chosen = (
         labels.filter((remainder(key) != 1) & F.col(label).isNotNull())
@@ -204,20 +207,31 @@ def fit(
         .orderBy(F.xxhash64("_id"), "_id")
         .limit(sample_docs)
     )
-    rows = docs.join(F.broadcast(chosen), F.col(key) == F.col("_id")).select("_id", "_y", F.col(text).alias("_text"))
+    rows = docs.join(F.broadcast(chosen), F.col(key) == F.col("_id")).select(
+        F.col("_id").cast("long").alias("_id"), "_y", F.col(text).alias("_text"), F.xxhash64(text).alias("_digest")
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, ys, texts in common.slices(batches):
-            bags = []
-            for bag in map(passages, texts):
-                at = np.unique(np.linspace(0, len(bag) - 1, min(len(bag), fit_passages)).astype(int))
-                bags.append(bag[at].tobytes())
+        for ids, ys, texts, digests in common.slices(batches):
+            bags = [passages(t) for t in texts]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(ys, pa.float64()), pa.array(bags, pa.binary())],
-                ["id", "y", "bag"],
-            )
-
-    found = rows.withColumn("_id", F.col("_id").cast("long")).mapInArrow(run, "id long, y double, bag binary").collect()
+                [
+                    pa.array(ids, pa.int64()), pa.array(ys, pa.float64()), pa.array(digests, pa.int64()),
+                    pa.array([len(b) for b in bags], pa.int64()), pa.array([b.tobytes() for b in bags], pa.binary()),
+                ],
+                ["id", "y", "digest", "n", "bag"],
+            )
+
+    bags = rows.mapInArrow(run, "id long, y double, digest long, n long, bag binary")
+    best = F.min(F.struct("digest", "n", "y", "bag")).alias("best")
+    bags = materialize(bags.groupBy("id").agg(best).select("id", "best.y", "best.n", "best.bag"), "fit-bags")
+    left, whole = sample_docs * fit_passages, []
+    for r in bags.select("id", "n").orderBy(F.xxhash64("id"), "id").collect():
+        if r.n <= left:
+            left -= r.n
+            whole.append((r.id,))
+    sample = docs.sparkSession.createDataFrame(whole, "id long")
+    found = bags.join(F.broadcast(sample), "id").select("id", "y", "bag").collect()
     found.sort(key=lambda r: (r.id, bytes(r.bag)))
     bags = [np.frombuffer(r.bag, np.float32).reshape(-1, N_FEATURES) for r in found]
     return fit_bags(bags, np.array([r.y for r in found]))

@@ -56,3 +56,19 @@ def test_held_out_accuracy(spark):
     import zlib
 
     assert all(r.held_out == (zlib.crc32(str(i).encode()) % 3 == 1) for i, r in got.items())
+
+
+def test_fit_reads_whole_documents_once(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(mil, "fit_bags", lambda bags, labels: seen.append((bags, labels)))
+    ids = [i for i in range(40) if __import__("zlib").crc32(str(i).encode()) % 3 != 1]
+    long, *rest = ids
+    texts = {long: " ".join(f"w{k}" for k in range(64 * 500))} | {i: f"word{i} " * (70 + i) for i in rest}
+    rows = [*texts.items(), *[(rest[0], texts[rest[0]])] * 20]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in texts], "doc_id long, quality int")
+    mil.fit(docs, labels)
+    mil.fit(docs, labels, sample_docs=40, fit_passages=10)
+    (bags, y), (fewer, _) = seen
+    assert [len(b) for b in bags] == [len(mil.passages(texts[i])) for i in ids] and y.tolist() == [i % 2 for i in ids]
+    assert [len(b) for b in fewer] == [len(mil.passages(texts[i])) for i in rest]
