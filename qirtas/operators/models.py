@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import importlib
+import json
+
 from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import (
     LinearSVC,
     LogisticRegression,
-    LogisticRegressionModel,
     MultilayerPerceptronClassifier,
     RandomForestClassificationModel,
     RandomForestClassifier,
@@ -90,5 +92,14 @@ def save_model(model: Model, path: str) -> None:
     model.write().overwrite().save(path)
 
 
-def load_logistic_regression(path: str) -> LogisticRegressionModel:
-    return LogisticRegressionModel.load(path)
+def load_model(spark: SparkSession, path: str) -> Model:
+    """A saved model of any class of MLlib; the class is the one in its metadata.
+
+    A loaded model has no training summary, so its scoring closure drags neither
+    a session nor a training table along.
+    """
+    name = json.loads(spark.read.text(f"{path}/metadata").first()["value"])["class"]
+    if not name.startswith("org.apache.spark.ml."):
+        raise ValueError(f"{path} holds no model of MLlib but {name}")
+    module, kind = name.replace("org.apache.spark", "pyspark").rsplit(".", 1)
+    return getattr(importlib.import_module(module), kind).load(path)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from qirtas.functions.stem import stem_text
@@ -21,12 +21,16 @@ def tfidf_terms(
 ) -> DataFrame:
     """key, term, tf, df, idf, tfidf with idf = ln((m + 1) / (df + 1)).
 
-    m counts all documents, also those without a term.
+    m counts all documents, also those without a term: those leave one row with a
+    null term in the written table, and each document one row that is its head.
+    An observed metric would give the count too, but ties the session to a
+    listener with which no fitted model can be serialised.
     """
-    seen = Observation()
-    counted = term_counts(df.observe(seen, F.count(F.lit(1)).alias("m")), key, cleaned)
-    counts = materialize(counted, "term-counts")
-    documents = seen.get["m"]
+    found = df.select(key, F.posexplode_outer(token_counts(tokenize(cleaned))).alias("pos", "t"))
+    head = (F.coalesce("pos", F.lit(0)) == 0).alias("head")
+    rows = materialize(found.select(key, "t.term", "t.tf", head), "term-counts")
+    documents = rows.filter("head").count()
+    counts = rows.filter("term IS NOT NULL").drop("head")
     frequency = materialize(counts.groupBy("term").agg(F.count("*").alias("df")), "term-documents")
     idf = F.log(F.lit(float(documents + 1)) / (F.col("df") + 1))
     return join_lookup(counts, frequency, "term", "df", hot_rows).select(

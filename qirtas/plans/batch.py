@@ -78,10 +78,15 @@ def fit(
     Trees draw their samples and the network its batches by task and row order, so
     this order makes the model depend on the rows, ``tasks`` and nothing else: not
     on the files, the cluster or a retry.  Raise ``tasks`` with the table.
+
+    The model is saved and loaded again: a fresh one keeps a training summary, and
+    with it the session, in every closure that scores rows.
     """
     train = rows.filter("split = 'train'").select(key, "label_idx", "features")
     dealt = train.repartition(tasks, key).sortWithinPartitions(key)
-    return estimator().fit(dealt.select("label_idx", "features"))
+    path = fresh_path(rows.sparkSession, "model")
+    md.save_model(estimator().fit(dealt.select("label_idx", "features")), path)
+    return md.load_model(rows.sparkSession, path)
 
 
 def select_best(

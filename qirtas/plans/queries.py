@@ -428,7 +428,7 @@ def model_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     model = _model(spark, sf, "Logistic Regression")
     path = fresh_path(spark, "lr-model")
     md.save_model(model, path)
-    loaded = md.load_logistic_regression(path)
+    loaded = md.load_model(spark, path)
     rows = _test_rows(spark, sf).select("doc_id", "features")
     own = ["rawPrediction", "probability"]
     first = model.transform(rows).drop(*own).withColumnRenamed("prediction", "fitted")

@@ -7,7 +7,7 @@ import pytest
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.sql import functions as F
 
-from qirtas.operators import metrics, vectors
+from qirtas.operators import metrics, terms, vectors
 from qirtas.operators import models as md
 from qirtas.plans import batch
 from qirtas.sources import fixtures
@@ -108,7 +108,7 @@ def test_save_overwrites_and_load_predicts_the_same(spark, chain, fitted):
     path = fresh_path(spark, "lr")
     for _ in range(2):
         md.save_model(fitted["Logistic Regression"], path)
-    loaded = md.load_logistic_regression(path)
+    loaded = md.load_model(spark, path)
     test = chain[3].filter("split = 'test'")
     pick = ["doc_id", "prediction"]
     own = fitted["Logistic Regression"].transform(test).select(*pick).collect()
@@ -130,3 +130,22 @@ def test_best_model_and_selection_part(spark, chain, fitted):
 def test_fit_on_train(spark, chain):
     rows = chain[2].select("cleaned_text", "label", "split")
     assert vectors.fit_tfidf(rows, "train").stages[2].numDocs < rows.count()
+
+
+def test_models_score_after_term_counts(spark, chain, fitted):
+    """Counting terms must leave nothing in the session that a model cannot be sent with."""
+    models = [*fitted.values(), batch.fit(md.linear_svm, chain[3]), batch.fit(lambda: md.feed_forward((5004, 4, 2)), chain[3])]
+    test = chain[3].filter("split = 'test'")
+    terms.tfidf_terms(chain[2], "doc_id").count()
+    for _ in range(3):
+        for model in models:
+            assert model.transform(test).agg(F.count("prediction")).first()[0] == test.count()
+
+
+def test_load_any_class(spark, chain, fitted):
+    path = fresh_path(spark, "rf")
+    md.save_model(fitted["Random Forest"], path)
+    assert type(md.load_model(spark, path)) is type(fitted["Random Forest"])
+    spark.createDataFrame([('{"class": "org.example.Model"}',)], "value string").write.text(f"{path}-x/metadata")
+    with pytest.raises(ValueError):
+        md.load_model(spark, f"{path}-x")
