@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from qirtas.llm import quality_rules, url_reputation, warc
+from qirtas.llm import merkle, quality_rules, url_reputation, warc
 from qirtas.llm.bpe import op8_bpe
 from qirtas.llm.cover_tree import SQL as COVER_TREE_SQL
 from qirtas.llm.cover_tree import op10_cover_tree
@@ -23,10 +23,12 @@ QUERIES = {
     "op8_bpe": op8_bpe,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_cover_tree": op10_cover_tree,
+    "op11_merkle_manifest": merkle.op11_merkle_manifest,
 }
 SQL = {
     "op1_url_reputation": url_reputation.SQL,
     "op2_quality_rules": quality_rules.SQL,
     "op7_warc": warc.SQL,
     "op10_cover_tree": COVER_TREE_SQL,
+    "op11_merkle_manifest": merkle.SQL,
 }
