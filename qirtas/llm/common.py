@@ -2,25 +2,56 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
-# Rows of a batch that are Python objects at the same time.
+# Rows, and about so many bytes of text, that are Python objects at the same time.
 SLICE_ROWS = 512
+SLICE_BYTES = 16 << 20
+# About so many bytes of a text are split into words at a time.
+PIECE_BYTES = 1 << 20
+BLANK = re.compile(rb"[\x20\x09-\x0D]")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def slices(batches: Iterable[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[list[list]]:
-    """The columns of each batch as Python lists, a bounded number of rows at a time."""
+def slices(
+    batches: Iterable[pa.RecordBatch], rows: int = SLICE_ROWS, size: int = SLICE_BYTES
+) -> Iterator[list[list]]:
+    """The columns of each batch as Python lists, a bounded number of rows and bytes at a time.
+
+    A row is never cut: one that is longer than ``size`` comes alone.
+    """
     for batch in batches:
-        for start in range(0, batch.num_rows, rows):
-            part = batch.slice(start, rows)
-            yield [column.to_pylist() for column in part.columns]
+        texts = [c for c in batch.columns if pa.types.is_string(c.type) or pa.types.is_binary(c.type)]
+        sizes = [pc.fill_null(pc.binary_length(c), 0).to_numpy(zero_copy_only=False) for c in texts]
+        ends = np.cumsum(np.sum(sizes, axis=0)) if sizes else np.zeros(batch.num_rows, np.int64)
+        start = 0
+        while start < batch.num_rows:
+            before = ends[start - 1] if start else 0
+            fits = int(np.searchsorted(ends, before + size, "right"))
+            end = min(start + rows, max(start + 1, fits), batch.num_rows)
+            yield [column.to_pylist() for column in batch.slice(start, end - start).columns]
+            start = end
+
+
+def word_lists(data: bytes, size: int = PIECE_BYTES) -> Iterator[list[bytes]]:
+    """The words between ASCII white space, in order, a bounded number at a time; a word is never cut."""
+    start = 0
+    while start < len(data):
+        end = start + size
+        if end < len(data):
+            rest = BLANK.search(data, end)
+            end = rest.start() if rest else len(data)
+        yield data[start:end].split()
+        start = end
 
 
 def map_rows(

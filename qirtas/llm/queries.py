@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from qirtas.llm import merkle, quality_rules, url_reputation, warc
+from qirtas.llm import lexical_search, merkle, quality_rules, url_reputation, warc
 from qirtas.llm.bpe import op8_bpe
 from qirtas.llm.cover_tree import SQL as COVER_TREE_SQL
 from qirtas.llm.cover_tree import op10_cover_tree
 from qirtas.llm.mil_classifier import op4_mil_classifier
 from qirtas.llm.ngram_join import op3_ngram_join
 from qirtas.llm.packing import op6_packing
+from qirtas.llm.simhash import op13_simhash
 from qirtas.llm.substring_dedup import op9_substring_dedup
 from qirtas.llm.token_counts import op5_token_counts
 
@@ -24,6 +25,8 @@ QUERIES = {
     "op9_substring_dedup": op9_substring_dedup,
     "op10_cover_tree": op10_cover_tree,
     "op11_merkle_manifest": merkle.op11_merkle_manifest,
+    "op12_lexical_search": lexical_search.op12_lexical_search,
+    "op13_simhash": op13_simhash,
 }
 SQL = {
     "op1_url_reputation": url_reputation.SQL,
@@ -31,4 +34,5 @@ SQL = {
     "op7_warc": warc.SQL,
     "op10_cover_tree": COVER_TREE_SQL,
     "op11_merkle_manifest": merkle.SQL,
+    "op12_lexical_search": lexical_search.SQL,
 }
