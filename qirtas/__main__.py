@@ -63,22 +63,25 @@ def features(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def train(spark: SparkSession, args: argparse.Namespace) -> None:
     rows = batch.write_training_rows(tables.read_table(spark, args.table), args.key)
+    network = md.feed_forward((md.VECTOR_SIZE, *args.hidden, args.classes))
     fitted = {n: batch.fit(e, rows, args.key, args.tasks) for n, e in md.COMPARED.items()}
+    chosen = dict(fitted)
+    fitted[md.NETWORK] = batch.fit(lambda: network, rows, args.key, args.tasks)
     md.top_importances(spark, fitted["Random Forest"]).show()
-    test = rows.filter("split = 'test'")
-    compared = md.compare(fitted, test)
-    compared.show()
-    for name, model in fitted.items():
-        print(name)
-        scored = model.transform(test).select("label_idx", "prediction")
-        metrics.confusion_matrix(scored, [0.0, 1.0], "label_idx").show()
-    known = compared if args.select_on == "test" else None
-    batch.select_best(fitted, rows, args.model, args.select_on, known).show()
+    scored = md.scored_rows(fitted, rows.filter("split = 'test'"))
+    report = metrics.evaluation(scored)
+    report.orderBy("model").show(truncate=False)
+    classes = [float(k) for k in range(args.classes)]
+    metrics.confusion_matrix(scored, classes, "label_idx", by=("model",)).orderBy("model", "label_idx").show(truncate=False)
+    known = report.filter(F.col("model") != md.NETWORK) if args.select_on == "test" else None
+    batch.select_best(chosen, rows, args.model, args.select_on, known).show()
+    if args.network:
+        md.save_model(fitted[md.NETWORK], args.network)
 
 
 def encode(spark: SparkSession, args: argparse.Namespace) -> None:
-    sample = messages.numbered_sample(tables.read_table(spark, args.table), args.key, args.rows)
-    value = messages.encode(F.col("text"), F.col("label"), F.col("id")).alias("value")
+    sample = messages.numbered_sample(tables.read_table(spark, args.table), args.key, args.rows, args.chars)
+    value = messages.encode(F.col("text"), F.col("label"), F.col("id"), args.chars).alias("value")
     lines = sample.select(value)
     if args.kafka:
         messages.write_to_kafka(lines, args.kafka, args.topic)
@@ -88,7 +91,7 @@ def encode(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def stream(spark: SparkSession, args: argparse.Namespace) -> None:
     source = (
-        scoring.kafka_source(spark, args.kafka, args.topic)
+        scoring.kafka_source(spark, args.kafka, args.topic, args.starting_offsets)
         if args.kafka
         else scoring.file_source(spark, args.input)
     )
@@ -125,13 +128,18 @@ def main(argv: list[str] | None = None) -> None:
     )
     sub = command(train, "table", "key", "model")
     sub.add_argument("--select-on", choices=["test", "val"], default="test")
-    sub.add_argument("--tasks", type=int, default=batch.FIT_TASKS)
+    sub.add_argument("--tasks", type=int, help="of each iteration; by default from the number of rows")
+    sub.add_argument("--hidden", type=int, nargs="+", default=[256, 128], help="layers of the network")
+    sub.add_argument("--classes", type=int, default=2)
+    sub.add_argument("--network", help="where the network is saved")
     sub = command(encode, "table", "key")
     sub.add_argument("--rows", type=int, default=messages.SAMPLE_ROWS)
+    sub.add_argument("--chars", type=int, default=messages.MAX_CHARS)
     for name in ("out", "kafka", "topic"):
         sub.add_argument(f"--{name}")
     sub = command(stream, "checkpoint")
     sub.add_argument("--seconds", type=float, default=90, help="0: until it is stopped")
+    sub.add_argument("--starting-offsets", default="latest")
     sub.add_argument("--drain", action="store_true", help="end when the input is processed")
     for name in ("input", "kafka", "topic", "out"):
         sub.add_argument(f"--{name}")

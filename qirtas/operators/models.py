@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import importlib
 import json
+from functools import reduce
 
 from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import (
@@ -13,11 +14,13 @@ from pyspark.ml.classification import (
     RandomForestClassificationModel,
     RandomForestClassifier,
 )
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from qirtas.operators.metrics import evaluate
+from qirtas.operators.metrics import evaluation
 from qirtas.operators.vectors import DENSE_FEATURES, NUM_FEATURES
+from qirtas.storage import materialize
 
 _COLUMNS = {"featuresCol": "features", "labelCol": "label_idx"}
 VECTOR_SIZE = NUM_FEATURES + len(DENSE_FEATURES)
@@ -49,6 +52,9 @@ COMPARED = {
     "Linear SVM": linear_svm,
 }
 
+# Fitted, evaluated and saved beside them, but not chosen from.
+NETWORK = "Feed Forward"
+
 # Names of the dense slots in the importance report.
 DENSE_NAMES = ["f15_word_len_var", "f36_avg_s_p", "f57_top50", "f78_perplexity"]
 
@@ -72,15 +78,20 @@ def top_importances(
     )
 
 
+def scored_rows(models: dict[str, Model], rows: DataFrame, key: str | None = None) -> DataFrame:
+    """The long table (model, key, label_idx, prediction, score): every row by every model; written once."""
+    score = vector_to_array("rawPrediction")[1].alias("score")
+    kept = [key] if key else []
+    parts = [
+        model.transform(rows).select(F.lit(name).alias("model"), *kept, "label_idx", "prediction", score)
+        for name, model in models.items()
+    ]
+    return materialize(reduce(DataFrame.unionByName, parts), "scored")
+
+
 def compare(models: dict[str, Model], rows: DataFrame) -> DataFrame:
-    """model, accuracy, f1, auc on ``rows``: one line per model."""
-    lines = []
-    for name, model in models.items():
-        scores = evaluate(model.transform(rows))
-        lines.append((name, scores["accuracy"], scores["f1"], scores["auc"]))
-    return rows.sparkSession.createDataFrame(
-        lines, "model string, accuracy double, f1 double, auc double"
-    )
+    """model, n, accuracy, f1, precision, recall, auc on ``rows``: one line per model, in one plan."""
+    return evaluation(scored_rows(models, rows))
 
 
 def best_model(comparison: DataFrame) -> DataFrame:

@@ -21,8 +21,8 @@ from qirtas.sources.tables import read_table, write_table
 from qirtas.sources.wordlists import drop_words, literal_words
 from qirtas.storage import fresh_path
 
-# Tasks of each iteration of a fit.
-FIT_TASKS = 8
+# Training rows of a task of a fit; at least FIT_TASKS tasks.
+FIT_TASKS, FIT_ROWS = 8, 50_000
 
 
 def process(
@@ -71,18 +71,21 @@ def write_training_rows(features: DataFrame, key: str, path: str | None = None)
 
 
 def fit(
-    estimator: Callable[[], Estimator], rows: DataFrame, key: str = "doc_id", tasks: int = FIT_TASKS
+    estimator: Callable[[], Estimator], rows: DataFrame, key: str = "doc_id", tasks: int | None = None
 ) -> Model:
     """Fit on the training part, dealt to ``tasks`` tasks by key and ordered there.
 
     Trees draw their samples and the network its batches by task and row order, so
     this order makes the model depend on the rows, ``tasks`` and nothing else: not
-    on the files, the cluster or a retry.  Raise ``tasks`` with the table.
+    on the files, the cluster or a retry.  Without ``tasks`` there is one for every
+    FIT_ROWS rows, FIT_TASKS at least.
 
     The model is saved and loaded again: a fresh one keeps a training summary, and
     with it the session, in every closure that scores rows.
     """
     train = rows.filter("split = 'train'").select(key, "label_idx", "features")
+    if tasks is None:
+        tasks = max(FIT_TASKS, -(-train.count() // FIT_ROWS))
     dealt = train.repartition(tasks, key).sortWithinPartitions(key)
     path = fresh_path(rows.sparkSession, "model")
     md.save_model(estimator().fit(dealt.select("label_idx", "features")), path)

@@ -285,6 +285,47 @@ def _index(column: str, rows: str = LAB, rel: str = "lab") -> str:
     )
 
 
+# The slot of a word: 32-bit MurmurHash3 of its bytes (seed 42) as a signed number, modulo 5000.
+def _product(x: str, factor: int) -> str:
+    return f"(({x})::HUGEINT * {factor} % 4294967296)::BIGINT"
+
+
+def _turned(x: str, bits: int) -> str:
+    return f"(((({x}) << {bits}) & 4294967295) | (({x}) >> {32 - bits}))"
+
+
+def _fold_down(x: str, bits: int) -> str:
+    return f"xor({x}, ({x}) >> {bits})"
+
+
+def _slot_ctes(words: str) -> str:
+    """CTEs ending in slots(term, slot) for a query that gives distinct ``term``."""
+    mixed = _product(_turned(_product("k", 0xCC9E2D51), 15), 0x1B873593)
+    stages = [
+        f"SELECT term, list_transform(range(0, strlen(term)), lambda i: "
+        f"('0x' || substr(hex(term), (2 * i + 1)::INT, 2))::BIGINT) AS b FROM ({words})",
+        "SELECT term, len(b) AS n, list_transform(range(0, (len(b) + 3) // 4), lambda i: "
+        "b[4 * i + 1] + coalesce(b[4 * i + 2], 0) * 256 + coalesce(b[4 * i + 3], 0) * 65536 "
+        "+ coalesce(b[4 * i + 4], 0) * 16777216) AS ks FROM m0",
+        f"SELECT term, n, list_transform(ks, lambda k: {mixed}) AS ks FROM m1",
+        "SELECT term, n, CASE WHEN n % 4 = 0 THEN ks ELSE ks[:-2] END AS whole, CASE WHEN n % 4 = 0 THEN 0 ELSE ks[-1] END AS rest FROM m2",
+        "SELECT term, n, rest, list_reduce(list_concat([42::BIGINT], whole), lambda h, k: "
+        f"(({_turned('xor(h, k)', 13)})::HUGEINT * 5 + 3864292196) % 4294967296) AS h FROM m3",
+        "SELECT term, xor(xor(h::BIGINT, rest), n) AS h FROM m4",
+        f"SELECT term, {_product(_fold_down('h', 16), 0x85EBCA6B)} AS h FROM m5",
+        f"SELECT term, {_product(_fold_down('h', 13), 0xC2B2AE35)} AS h FROM m6",
+        f"SELECT term, {_fold_down('h', 16)} AS h FROM m7",
+    ]
+    ctes = [f"m{i} AS MATERIALIZED ({sql})" for i, sql in enumerate(stages)]
+    signed = "(h - CASE WHEN h > 2147483647 THEN 4294967296 ELSE 0 END)"
+    ctes.append(f"slots AS (SELECT term, (({signed} % 5000 + 5000) % 5000)::INT AS slot FROM m8)")
+    return ",\n".join(ctes)
+
+
+_TEST = f"FROM pr WHERE {_SPLIT} = 'test'"
+_TRAINED = f"(SELECT count(*) FROM pr WHERE {_SPLIT} = 'train') AS n_train"
+_MODEL_NAMES = "(VALUES ('Logistic Regression'), ('Random Forest'), ('Linear SVM'), ('Feed Forward')) AS models(model)"
+
 _SAMPLE = (
     "(row_number() OVER (ORDER BY md5(doc_id::VARCHAR), doc_id) - 1) AS id FROM {} "
     "ORDER BY md5(doc_id::VARCHAR), doc_id LIMIT 100"
@@ -414,8 +455,37 @@ SELECT doc_id, 5004::BIGINT AS vector_size, round(f15, 6) AS f15_word_len_varian
   round(f78, 6) AS f78_perplexity FROM f""",
     "split_rows": f"WITH {DOCS} SELECT doc_id, {_BUCKET} AS bucket, {_SPLIT} AS split FROM docs",
     "split_counts": f"WITH {DOCS} SELECT {_SPLIT} AS split, count(*) AS n FROM docs GROUP BY 1",
-    "model_roundtrip": f"""WITH {_PROCESSED}
-SELECT doc_id, true AS same FROM pr WHERE {_SPLIT} = 'test'""",
+    "model_roundtrip": f"""WITH {_PROCESSED}, t AS (SELECT doc_id {_TEST})
+SELECT model, doc_id, true AS same FROM t CROSS JOIN {_MODEL_NAMES}""",
+    "tfidf_slots": f"""WITH {CLEAN_DOCS},
+words AS (SELECT doc_id, unnest(tok) AS term FROM c), {_slot_ctes("SELECT DISTINCT term FROM words")},
+tf AS (SELECT doc_id, slot, count(*) AS tf FROM words JOIN slots ON words.term = slots.term GROUP BY doc_id, slot),
+df AS (SELECT slot, count(*) AS df FROM tf GROUP BY slot)
+SELECT tf.doc_id, tf.slot, tf.tf, df.df,
+  round(tf.tf * ln(((SELECT count(*) FROM c) + 1)::DOUBLE / (df.df + 1)), 6) AS weight
+FROM tf JOIN df ON tf.slot = df.slot""",
+    "tfidf_vectors_equal": f"""WITH {_PROCESSED},
+words AS (SELECT doc_id, unnest(tok) AS term FROM pr), {_slot_ctes("SELECT DISTINCT term FROM words")}
+SELECT doc_id, count(DISTINCT slot) AS n_slots, true AS same
+FROM words JOIN slots ON words.term = slots.term GROUP BY doc_id""",
+    # Checks of trained models: what must hold, for every row that the tables give.
+    **{
+        name: f"WITH {_PROCESSED} SELECT doc_id, true AS same_margin, true AS same_sign {_TEST}"
+        for name in ("lr_margins", "svm_margins")
+    },
+    "lr_stationary": f"""WITH {_PROCESSED}
+SELECT unnest(range(-1, 5004))::INT AS slot, true AS stationary, {_TRAINED}""",
+    "svm_certificate": f"""WITH {_PROCESSED}
+SELECT unnest(range(-1, 5004))::INT AS slot, true AS minimal, {_TRAINED}""",
+    "rf_votes": f"WITH {_PROCESSED} SELECT doc_id, true AS same_votes, true AS same_prediction {_TEST}",
+    "rf_importance_recomputed": f"""WITH {_PROCESSED}
+SELECT unnest(range(0, 5004))::INT AS slot, true AS same, {_TRAINED}""",
+    "mlp_forward": f"WITH {_PROCESSED} SELECT doc_id, true AS same {_TEST}",
+    "model_confusion_totals": f"""WITH {_PROCESSED}, t AS (SELECT label, count(*) AS n {_TEST} GROUP BY label)
+SELECT model, label, n FROM t CROSS JOIN {_MODEL_NAMES}""",
+    "evaluation_equal": f"""WITH {_PROCESSED}, t AS (SELECT count(*) AS n {_TEST})
+SELECT model, n, true AS same_accuracy, true AS same_f1, true AS same_precision, true AS same_recall, true AS same_auc
+FROM t CROSS JOIN {_MODEL_NAMES}""",
     "rule_classify": f"""WITH {DOCS}, {_light_cte("docs", "doc_id")}
 SELECT doc_id, {_LABEL} AS prediction, {_LABEL_BUILT_IN} AS prediction_built_in,
   round({_SCORE}, 6) AS score FROM lc""",
@@ -448,6 +518,10 @@ FROM ruled GROUP BY label""",
     "stream_score": f"""WITH {DOCS}, {_light_cte("docs", "doc_id, source")}
 SELECT doc_id AS id, source AS label, {_LABEL} AS prediction FROM lc
 UNION ALL SELECT NULL, NULL, 'unknown' FROM pages""",
+    "stream_cut": f"""WITH {DOCS}, {_light_cte("docs", "doc_id, source")}
+SELECT doc_id AS id, source AS label, {_LABEL} AS prediction FROM lc
+UNION ALL SELECT NULL, NULL, 'unknown' FROM pages""",
+    "stream_batches": """SELECT doc_id AS id, 1::BIGINT AS n_rows, 1::BIGINT AS n_batches, 1::BIGINT AS n_times FROM documents""",
     "stream_restart": f"""WITH {DOCS}, {_light_cte("docs", "doc_id, source")},
 scored AS (SELECT {_LABEL} AS prediction FROM lc UNION ALL SELECT 'unknown' FROM pages)
 SELECT prediction, 2 * count(*) AS n FROM scored GROUP BY prediction""",

@@ -3,20 +3,23 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from functools import reduce
 
+from pyspark.errors import StreamingQueryException
 from pyspark.ml import Model
+from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from qirtas.functions import rules, style, text, tokens
-from qirtas.operators import corpus, metrics, reshape, terms, vectors
+from qirtas.operators import corpus, forest, hashed, linear, metrics, network, reshape, terms, vectors
 from qirtas.operators import models as md
 from qirtas.operators.features import with_cleaned, with_features
 from qirtas.operators.split import assign_split, split_bucket
 from qirtas.plans import batch
 from qirtas.sources import fixtures, messages, tables, wordlists
-from qirtas.storage import fresh_path
+from qirtas.storage import fresh_path, materialize
 from qirtas.streaming import scoring
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -310,6 +313,13 @@ def hashed_tf(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def tfidf_slots(spark: SparkSession, sf: str) -> DataFrame:
+    """Hashed TF-IDF by value: every slot of every document."""
+    cleaned = materialize(_cleaned(_docs(spark, sf)).select("doc_id", "cleaned_text"), "cleaned")
+    slots = hashed.tfidf_slots(cleaned, "doc_id", hashed.vector_words("cleaned_text"))
+    return slots.select("doc_id", "slot", "tf", "df", _exact("weight"))
+
+
 _paths: dict[tuple[str, str, str], str] = {}
 
 
@@ -336,6 +346,31 @@ def tfidf_vectors(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _close(a: Column, b: Column) -> Column:
+    return F.abs(a - b) <= 1e-9 * (1 + F.abs(b))
+
+
+def _same_arrays(a: str, b: str) -> Column:
+    """Equal lengths and all elements close."""
+    near = F.forall(F.zip_with(a, b, _close), lambda x: x)
+    return (F.size(a) == F.size(b)) & near
+
+
+def tfidf_vectors_equal(spark: SparkSession, sf: str) -> DataFrame:
+    """Per labelled document: are all slots of the vectors that the models read those computed by expressions?"""
+    features = _feature_table(spark, sf)
+    own = hashed.tfidf_slots(features, "doc_id", hashed.vector_words("cleaned_text"))
+    rows = features.select("doc_id", vector_to_array("tfidf_features").alias("whole"))
+    rows = rows.join(hashed.sparse_vectors(own, "doc_id"), "doc_id", "left")
+    same = F.forall(F.zip_with("slots", "values", lambda s, v: _close(v, F.get("whole", s))), lambda x: x)
+    filled = lambda c: F.size(F.filter(c, lambda x: x != 0))
+    return rows.select(
+        "doc_id",
+        F.size("slots").cast("long").alias("n_slots"),
+        (same & (filled("whole") == filled("values"))).alias("same"),
+    )
+
+
 def assemble(spark: SparkSession, sf: str) -> DataFrame:
     """Vector size and the four dense slots behind the hashed ones."""
     slots = vector_to_array("features")
@@ -359,7 +394,7 @@ def split_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 # Models ----------------------------------------------------------------------
 _fitted: dict[tuple[str, str, str], Model] = {}
-_MODELS = {**md.COMPARED, "Feed Forward": md.feed_forward}
+_MODELS = {**md.COMPARED, md.NETWORK: md.feed_forward}
 
 
 def _training_rows(spark: SparkSession, sf: str) -> DataFrame:
@@ -395,19 +430,53 @@ def rf_importance(spark: SparkSession, sf: str) -> DataFrame:
     return md.top_importances(spark, _model(spark, sf, "Random Forest"))
 
 
+def _all_models(spark: SparkSession, sf: str) -> dict[str, Model]:
+    return {name: _model(spark, sf, name) for name in _MODELS}
+
+
+def _scored(spark: SparkSession, sf: str) -> DataFrame:
+    """Every test row by every model, written once."""
+    key = (spark.sparkContext.applicationId, sf, "scored")
+    if key not in _paths:
+        _paths[key] = fresh_path(spark, "all-scored")
+        scored = md.scored_rows(_all_models(spark, sf), _test_rows(spark, sf), "doc_id")
+        tables.write_table(scored, _paths[key])
+    return tables.read_table(spark, _paths[key])
+
+
 def model_evaluation(spark: SparkSession, sf: str) -> DataFrame:
-    """All four models with all five figures, beside the majority share."""
-    rows = _test_rows(spark, sf)
-    lines = [
-        (name, *metrics.evaluate(_model(spark, sf, name).transform(rows)).values())
-        for name in _MODELS
-    ]
-    classes = rows.groupBy("label").agg(F.count("*").alias("n"))
-    majority = classes.agg((F.max("n") / F.sum("n")).alias("share")).first()["share"]
-    return spark.createDataFrame(
-        lines,
-        "model string, accuracy double, f1 double, precision double, recall double, auc double",
-    ).withColumn("majority_share", F.lit(majority))
+    """All four models with all five figures in one plan, beside the majority share."""
+    classes = _test_rows(spark, sf).groupBy("label").agg(F.count("*").alias("n"))
+    majority = classes.agg((F.max("n") / F.sum("n")).alias("majority_share"))
+    return metrics.evaluation(_scored(spark, sf)).crossJoin(F.broadcast(majority))
+
+
+def model_confusion(spark: SparkSession, sf: str) -> DataFrame:
+    """The confusion matrix of each model: a row per actual class, a column per predicted one."""
+    return metrics.confusion_matrix(_scored(spark, sf), [0.0, 1.0], "label_idx", by=("model",))
+
+
+def model_confusion_totals(spark: SparkSession, sf: str) -> DataFrame:
+    """What the matrices must add up to: per model and class the rows of the test part."""
+    rows = model_confusion(spark, sf)
+    said = [F.col(f"`{c}`") for c in rows.columns if c.startswith("predicted_")]
+    labels = _test_rows(spark, sf).select("label_idx", "label").distinct()
+    return rows.withColumn("n", sum(said[1:], said[0])).join(labels, "label_idx").select("model", "label", "n")
+
+
+def evaluation_equal(spark: SparkSession, sf: str) -> DataFrame:
+    """Per model: does the grouped evaluation give the figures of MLlib's evaluators?"""
+    multi = MulticlassClassificationEvaluator(labelCol="label_idx", predictionCol="prediction")
+    area = BinaryClassificationEvaluator(labelCol="label_idx", rawPredictionCol="score", numBins=0)
+    names = {"accuracy": "accuracy", "f1": "f1", "precision": "weightedPrecision", "recall": "weightedRecall"}
+    lines = []
+    for name in _MODELS:
+        rows = _scored(spark, sf).filter(F.col("model") == name)
+        lines.append((name, *[multi.evaluate(rows, {multi.metricName: m}) for m in names.values()], area.evaluate(rows)))
+    figures = [*names, "auc"]
+    known = spark.createDataFrame(lines, "model string, " + ", ".join(f"of_{c} double" for c in figures))
+    own = metrics.evaluation(_scored(spark, sf)).join(known, "model")
+    return own.select("model", "n", *[_close(F.col(c), F.col(f"of_{c}")).alias(f"same_{c}") for c in figures])
 
 
 def _compared(spark: SparkSession, sf: str) -> dict[str, Model]:
@@ -424,19 +493,109 @@ def best_model(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def model_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
-    """Per test document: does a saved and loaded model predict the same?"""
-    model = _model(spark, sf, "Logistic Regression")
-    path = fresh_path(spark, "lr-model")
-    md.save_model(model, path)
-    loaded = md.load_model(spark, path)
+    """Per model and test document: does a model saved and loaded once more score the same?"""
     rows = _test_rows(spark, sf).select("doc_id", "features")
-    own = ["rawPrediction", "probability"]
-    first = model.transform(rows).drop(*own).withColumnRenamed("prediction", "fitted")
-    return loaded.transform(first).select(
-        "doc_id", (F.col("fitted") == F.col("prediction")).alias("same")
+
+    def scores(model: Model, name: str) -> DataFrame:
+        return model.transform(rows).select("doc_id", "prediction", vector_to_array("rawPrediction").alias(name))
+
+    parts = []
+    for name, model in _all_models(spark, sf).items():
+        path = fresh_path(spark, "saved-model")
+        md.save_model(model, path)
+        loaded = scores(md.load_model(spark, path), "again").withColumnRenamed("prediction", "prediction_again")
+        same = _same_arrays("fitted", "again") & (F.col("prediction") == F.col("prediction_again"))
+        both = scores(model, "fitted").join(loaded, "doc_id")
+        parts.append(both.select(F.lit(name).alias("model"), "doc_id", same.alias("same")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+# Models checked by their parameters --------------------------------------------
+def _values(spark: SparkSession, sf: str) -> DataFrame:
+    """doc_id, slot, value of all labelled documents by expressions, written once."""
+    key = (spark.sparkContext.applicationId, sf, "values")
+    if key not in _paths:
+        _paths[key] = fresh_path(spark, "values")
+        tables.write_table(hashed.feature_values(_feature_table(spark, sf), "doc_id"), _paths[key])
+    return tables.read_table(spark, _paths[key])
+
+
+def _part(spark: SparkSession, sf: str, split: str) -> DataFrame:
+    return _training_rows(spark, sf).filter(F.col("split") == split).select("doc_id", "label_idx")
+
+
+def _margins(name: str) -> Query:
+    def query(spark: SparkSession, sf: str) -> DataFrame:
+        """Per test document: are the margin from the coefficient table and its sign the model's?"""
+        model = _model(spark, sf, name)
+        own = linear.margins(_values(spark, sf), _part(spark, sf, "test"), "doc_id", model)
+        said = model.transform(_test_rows(spark, sf)).select(
+            "doc_id", "prediction", vector_to_array("rawPrediction")[1].alias("raw")
+        )
+        sign = F.when(F.col("margin") > 0, 1.0).otherwise(0.0)
+        return own.join(said, "doc_id").select(
+            "doc_id", _close(F.col("margin"), F.col("raw")).alias("same_margin"), (sign == F.col("prediction")).alias("same_sign")
+        )
+
+    return query
+
+
+# An optimum leaves no gradient; optimizers stop a little before it.
+TOLERANCE = 1e-4
+
+
+def lr_stationary(spark: SparkSession, sf: str) -> DataFrame:
+    """Per slot (the intercept is -1): is the gradient of the regularised loss zero, up to TOLERANCE?"""
+    model, train = _model(spark, sf, "Logistic Regression"), _part(spark, sf, "train")
+    slots = linear.logistic_gradient(_values(spark, sf), train, "doc_id", model, model.getRegParam())
+    rows = train.agg(F.count("*").alias("n_train"))
+    return slots.select("slot", (F.abs("gradient") <= TOLERANCE).alias("stationary")).crossJoin(F.broadcast(rows))
+
+
+def svm_certificate(spark: SparkSession, sf: str) -> DataFrame:
+    """Per slot (the intercept is -1): does the hinge loss fall neither way, up to TOLERANCE?"""
+    model, train = _model(spark, sf, "Linear SVM"), _part(spark, sf, "train")
+    slots = linear.hinge_slopes(_values(spark, sf), train, "doc_id", model)
+    rows = train.agg(F.count("*").alias("n_train"))
+    holds = (F.col("up") >= -TOLERANCE) & (F.col("down") >= -TOLERANCE)
+    return slots.select("slot", holds.alias("minimal")).crossJoin(F.broadcast(rows))
+
+
+def rf_votes(spark: SparkSession, sf: str) -> DataFrame:
+    """Per test document: do the trees, walked as a node table, vote as the model does?"""
+    model = _model(spark, sf, "Random Forest")
+    nodes = forest.node_table(model, _test_rows(spark, sf))
+    own = forest.votes(_values(spark, sf), _part(spark, sf, "test"), "doc_id", nodes, model.getMaxDepth())
+    said = model.transform(_test_rows(spark, sf)).select("doc_id", "prediction", vector_to_array("rawPrediction").alias("raw"))
+    best = F.array_position("votes", F.array_max("votes")) - 1
+    return own.join(said, "doc_id").select(
+        "doc_id", _same_arrays("votes", "raw").alias("same_votes"), (best == F.col("prediction")).alias("same_prediction")
     )
 
 
+def rf_importance_recomputed(spark: SparkSession, sf: str) -> DataFrame:
+    """Per slot: is the importance summed from the nodes' gains the model's?"""
+    model = _model(spark, sf, "Random Forest")
+    own = forest.importances(forest.node_table(model, _test_rows(spark, sf)))
+    rows = [(i, float(v)) for i, v in enumerate(model.featureImportances.toArray())]
+    said = spark.createDataFrame(rows, "slot int, said double")
+    same = _close(F.coalesce("importance", F.lit(0.0)), F.col("said"))
+    trained = _part(spark, sf, "train").agg(F.count("*").alias("n_train"))
+    return said.join(own, "slot", "left").select("slot", same.alias("same")).crossJoin(F.broadcast(trained))
+
+
+def mlp_forward(spark: SparkSession, sf: str) -> DataFrame:
+    """Per test document: are the network's probabilities those of matrix products over its weights?"""
+    model = _model(spark, sf, md.NETWORK)
+    test = _part(spark, sf, "test").select("doc_id")
+    vectors = hashed.sparse_vectors(_values(spark, sf).join(test, "doc_id", "left_semi"), "doc_id", "value")
+    own = network.probabilities(test.join(vectors, "doc_id", "left").select("doc_id", *[
+        F.coalesce(c, F.array().cast(f"array<{t}>")).alias(c) for c, t in (("slots", "int"), ("values", "double"))
+    ]), "doc_id", model)
+    said = model.transform(_test_rows(spark, sf)).select("doc_id", vector_to_array("probability").alias("said"))
+    return own.join(said, "doc_id").select("doc_id", _same_arrays("probabilities", "said").alias("same"))
+
+
 # Rule classifier and its evaluation ------------------------------------------
 def _ruled(spark: SparkSession, sf: str) -> DataFrame:
     df = _labelled(spark, sf).select("doc_id", "label", text.stream_clean("text").alias("cleaned"))
@@ -504,6 +663,44 @@ def stream_restart(spark: SparkSession, sf: str) -> DataFrame:
     return scored.groupBy("prediction").agg(F.count("*").alias("n"))
 
 
+def _batches(spark: SparkSession, sf: str, cut_at: int | None) -> DataFrame:
+    """Scored messages by the batch sink, in several batches; ``cut_at``: the stream fails once after this batch's write."""
+    source, sink = fresh_path(spark, "messages"), fresh_path(spark, "batches")
+    offsets = fresh_path(spark, "offsets")
+    rows = fixtures.messages(spark, sf).select("value", "source_id")
+    rows.write.parquet(source)
+    stream = scoring.score(scoring.file_source(spark, source, files_per_batch=1), fixtures.STREAM_LEXICON)
+
+    def fail(batch: int) -> None:
+        if batch == cut_at:
+            raise ConnectionError("cut between the sink and the checkpoint")
+
+    if cut_at is not None:
+        try:
+            scoring.append_batches(stream, offsets, sink, fail).awaitTermination()
+        except StreamingQueryException:
+            pass
+        else:
+            raise RuntimeError(f"there was no batch {cut_at} to be cut after")
+    scoring.append_batches(stream, offsets, sink).awaitTermination()
+    return spark.read.parquet(sink)
+
+
+def stream_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """Per message that has an id: rows, batches it came in, and times of its batch; one of each is right."""
+    rows = _batches(spark, sf, None)
+    times = rows.groupBy("batch").agg(F.countDistinct("timestamp").alias("times"))
+    met = rows.filter("id IS NOT NULL").join(times, "batch")
+    return met.groupBy(F.col("id").cast("long").alias("id")).agg(
+        F.count("*").alias("n_rows"), F.countDistinct("batch").alias("n_batches"), F.max("times").alias("n_times")
+    )
+
+
+def stream_cut(spark: SparkSession, sf: str) -> DataFrame:
+    """As ``stream_score``, cut once after a batch was written and before it was committed."""
+    return _batches(spark, sf, 0).select(F.col("id").cast("long").alias("id"), "label", "prediction")
+
+
 QUERIES: dict[str, Query] = {
     "scan_profile": scan_profile,
     "stopword_vocab": stopword_vocab,
@@ -558,7 +755,9 @@ QUERIES: dict[str, Query] = {
     "label_index": label_index,
     "source_index": source_index,
     "hashed_tf": hashed_tf,
+    "tfidf_slots": tfidf_slots,
     "tfidf_vectors": tfidf_vectors,
+    "tfidf_vectors_equal": tfidf_vectors_equal,
     "assemble": assemble,
     "split_rows": split_rows,
     "split_counts": split_counts,
@@ -567,6 +766,16 @@ QUERIES: dict[str, Query] = {
     "svm_predictions": _predictions("Linear SVM"),
     "mlp_predictions": _predictions("Feed Forward"),
     "rf_importance": rf_importance,
+    "lr_margins": _margins("Logistic Regression"),
+    "lr_stationary": lr_stationary,
+    "svm_margins": _margins("Linear SVM"),
+    "svm_certificate": svm_certificate,
+    "rf_votes": rf_votes,
+    "rf_importance_recomputed": rf_importance_recomputed,
+    "mlp_forward": mlp_forward,
+    "model_confusion": model_confusion,
+    "model_confusion_totals": model_confusion_totals,
+    "evaluation_equal": evaluation_equal,
     "model_evaluation": model_evaluation,
     "model_comparison": model_comparison,
     "best_model": best_model,
@@ -577,4 +786,6 @@ QUERIES: dict[str, Query] = {
     "confusion": confusion,
     "stream_score": stream_score,
     "stream_restart": stream_restart,
+    "stream_batches": stream_batches,
+    "stream_cut": stream_cut,
 }

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from qirtas.operators.skew import first_in_order
+
 # The message schema, the sample size and the text length.
 MESSAGE_SCHEMA = T.StructType(
     [
@@ -18,16 +20,16 @@ SAMPLE_ROWS = 100
 MAX_CHARS = 500
 
 
-def sample_rows(df: DataFrame, key: str, n: int = SAMPLE_ROWS) -> DataFrame:
-    """A reproducible sample: the n rows with the smallest key digests."""
-    digest = F.md5(F.col(key).cast("string"))
-    return df.orderBy(digest, key).limit(n)
-
+def numbered_sample(
+    df: DataFrame, key: str, n: int = SAMPLE_ROWS, max_chars: int | None = MAX_CHARS, text: str = "text"
+) -> DataFrame:
+    """A reproducible sample: the n rows with the smallest key digests, numbered 0..n-1 as ``id``.
 
-def numbered_sample(df: DataFrame, key: str, n: int = SAMPLE_ROWS) -> DataFrame:
-    """The sample with ``id`` = 0..n-1.  The window sees the n sampled rows only."""
-    order = Window.orderBy(F.md5(F.col(key).cast("string")), key)
-    return sample_rows(df, key, n).withColumn("id", F.row_number().over(order) - 1)
+    Texts are cut before rows move; ``n`` may be as large as the table.
+    """
+    if max_chars is not None and text in df.columns:
+        df = df.withColumn(text, F.substring(text, 1, max_chars))
+    return first_in_order(df, key, n)
 
 
 def encode(text: Column, label: Column, id: Column, max_chars: int | None = MAX_CHARS) -> Column:

@@ -5,7 +5,7 @@ The transformation is the one used on batch tables; only source and sink differ.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -67,6 +67,23 @@ def append_to(
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
+def append_batches(
+    scored: DataFrame, checkpoint: str, path: str, written: Callable[[int], None] = lambda batch: None
+) -> StreamingQuery:
+    """Start a query that writes each micro-batch under ``path/batch=N``, all of it with one time.
+
+    A batch that runs again, because the stream was cut between this write and its
+    own commit, replaces what it wrote before.  ``written`` is called in between.
+    """
+
+    def sink(rows: DataFrame, batch: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{path}/batch={batch}")
+        written(batch)
+
+    writer = scored.writeStream.option("checkpointLocation", checkpoint).foreachBatch(sink)
+    return writer.trigger(availableNow=True).start()
+
+
 def run_available(
     scored: DataFrame, checkpoint: str, path: str, timeout: float | None = None
 ) -> None:
