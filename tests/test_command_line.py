@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from qirtas.__main__ import main
+from qirtas.operators.models import load_model
 from qirtas.sources import fixtures
 
 METHODS = ["by_polishing", "from_title", "from_title_and_content"]
@@ -31,17 +32,26 @@ def test_stages(spark, small, tmp_path, capsys):
     keyed.write.parquet(at("keyed"))
 
     main(["profile", "--table", at("processed")])
+    assert "avg_ttr" in capsys.readouterr().out
     main(["features", "--table", at("keyed"), "--key", "k", "--out", at("features")])
     features = spark.read.parquet(at("features"))
     assert features.count() == processed.count()
     assert {"f15_word_len_variance", "tfidf_features", "label_idx", "split"} <= set(features.columns)
 
-    main(["encode", "--table", at("keyed"), "--key", "k", "--rows", "10", "--out", at("messages")])
+    main(["train", "--table", at("features"), "--key", "k", "--model", at("best"), "--network", at("network"),
+          "--hidden", "4", "--tasks", "2"])
+    report = capsys.readouterr().out
+    assert all(name in report for name in ("Feed Forward", "precision", "recall", "predicted_other"))
+    assert load_model(spark, at("network")).getLayers() == [5004, 4, 2]
+    assert load_model(spark, at("best")).numFeatures == 5004
+
+    main(["encode", "--table", at("keyed"), "--key", "k", "--rows", "10", "--chars", "20", "--out", at("messages")])
+    sent = spark.read.parquet(at("messages")).select(F.get_json_object(F.col("value").cast("string"), "$.text"))
+    assert max(len(r[0]) for r in sent.collect()) == 20
     main(["stream", "--input", at("messages"), "--checkpoint", at("offsets"),
           "--out", at("scored"), "--seconds", "8"])
     scored = spark.read.parquet(at("scored"))
     assert sorted(r["id"] for r in scored.collect()) == list(range(10))
-    assert "avg_ttr" in capsys.readouterr().out
 
 
 def test_unknown_stage():

@@ -1,9 +1,11 @@
 """The scoring stream over files: batches, malformed input, restart, parity with batch."""
 
 import json
+import os
 from collections import Counter
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from qirtas.functions.rules import rule_label
@@ -113,3 +115,62 @@ def test_kafka_options():
         "subscribe": "texts",
         "startingOffsets": "latest",
     }
+
+
+def test_kafka_starts_where_it_is_told():
+    class Reader(dict):
+        def format(self, name):
+            return self
+
+        def option(self, key, value):
+            self[key] = value
+            return self
+
+        def load(self):
+            return self
+
+    class Session:
+        readStream = Reader()
+
+    assert scoring.kafka_source(Session(), "h:1", "t", "earliest")["startingOffsets"] == "earliest"
+
+
+def test_recovery_from_a_cut_before_the_commit(spark, folders):
+    """The sink has the last batch in its log, the checkpoint has not: it runs again and nothing comes twice."""
+    for k in range(3):
+        _write(spark, folders[0], _lines(100 * k))
+    columns = ["id", "label", "prediction", "timestamp"]
+    before = Counter(tuple(r) for r in _run(spark, folders, per_batch=1).select(*columns).collect())
+    commits = os.path.join(folders[2], "commits")
+    last = max((f for f in os.listdir(commits) if f.isdigit()), key=int)
+    for name in (last, f".{last}.crc"):
+        if os.path.exists(os.path.join(commits, name)):
+            os.remove(os.path.join(commits, name))
+    _write(spark, folders[0], _lines(900))
+    after = Counter(tuple(r) for r in _run(spark, folders, per_batch=1).select(*columns).collect())
+    n = len(TEXTS) + len(BAD)
+    assert os.path.exists(os.path.join(commits, last))
+    assert sum(after.values()) == 4 * n and not before - after
+
+
+@pytest.mark.parametrize("cut", [0, 2])
+def test_batches_are_whole_after_a_cut(spark, folders, cut):
+    """The stream fails between a batch's write and its commit; the rerun replaces that batch."""
+    source, sink, offsets = folders
+    for k in range(3):
+        _write(spark, source, _lines(100 * k))
+    stream = scoring.score(scoring.file_source(spark, source, 1), LEXICON)
+
+    def fail(batch):
+        if batch == cut:
+            raise ConnectionError("cut")
+
+    with pytest.raises(StreamingQueryException):
+        scoring.append_batches(stream, offsets, sink, fail).awaitTermination()
+    assert spark.read.parquet(sink).select("batch").distinct().count() == cut + 1
+    for _ in range(2):
+        scoring.append_batches(stream, offsets, sink).awaitTermination()
+    rows = spark.read.parquet(sink)
+    assert rows.count() == 3 * (len(TEXTS) + len(BAD))
+    assert rows.groupBy("batch").agg(F.countDistinct("timestamp").alias("n")).filter("n != 1").count() == 0
+    assert rows.filter("id IS NOT NULL").groupBy("id").count().filter("count != 1").count() == 0
