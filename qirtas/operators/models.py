@@ -52,6 +52,8 @@ COMPARED = {
     "Linear SVM": linear_svm,
 }
 
+LINEAR = (LogisticRegression, LinearSVC)
+
 # Fitted, evaluated and saved beside them, but not chosen from.
 NETWORK = "Feed Forward"
 

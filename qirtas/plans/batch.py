@@ -21,8 +21,9 @@ from qirtas.sources.tables import read_table, write_table
 from qirtas.sources.wordlists import drop_words, literal_words
 from qirtas.storage import fresh_path
 
-# Training rows of a task of a fit; at least FIT_TASKS tasks.
-FIT_TASKS, FIT_ROWS = 8, 50_000
+# Training rows of a task of a fit.  Trees and the network have at least FIT_TASKS tasks; an
+# iteration of a linear model is so short that further tasks cost more than they save.
+FIT_TASKS, FIT_ROWS = 8, 20_000
 
 
 def process(
@@ -78,17 +79,19 @@ def fit(
     Trees draw their samples and the network its batches by task and row order, so
     this order makes the model depend on the rows, ``tasks`` and nothing else: not
     on the files, the cluster or a retry.  Without ``tasks`` there is one for every
-    FIT_ROWS rows, FIT_TASKS at least.
+    FIT_ROWS rows, and FIT_TASKS at least but for linear models.
 
     The model is saved and loaded again: a fresh one keeps a training summary, and
     with it the session, in every closure that scores rows.
     """
     train = rows.filter("split = 'train'").select(key, "label_idx", "features")
+    unfitted = estimator()
     if tasks is None:
-        tasks = max(FIT_TASKS, -(-train.count() // FIT_ROWS))
+        least = 1 if isinstance(unfitted, md.LINEAR) else FIT_TASKS
+        tasks = max(least, -(-train.count() // FIT_ROWS))
     dealt = train.repartition(tasks, key).sortWithinPartitions(key)
     path = fresh_path(rows.sparkSession, "model")
-    md.save_model(estimator().fit(dealt.select("label_idx", "features")), path)
+    md.save_model(unfitted.fit(dealt.select("label_idx", "features")), path)
     return md.load_model(rows.sparkSession, path)
 
 

@@ -480,6 +480,7 @@ SELECT unnest(range(-1, 5004))::INT AS slot, true AS minimal, {_TRAINED}""",
     "rf_votes": f"WITH {_PROCESSED} SELECT doc_id, true AS same_votes, true AS same_prediction {_TEST}",
     "rf_importance_recomputed": f"""WITH {_PROCESSED}
 SELECT unnest(range(0, 5004))::INT AS slot, true AS same, {_TRAINED}""",
+    "best_model_saved": f"WITH {_PROCESSED} SELECT doc_id, true AS same {_TEST}",
     "mlp_forward": f"WITH {_PROCESSED} SELECT doc_id, true AS same {_TEST}",
     "model_confusion_totals": f"""WITH {_PROCESSED}, t AS (SELECT label, count(*) AS n {_TEST} GROUP BY label)
 SELECT model, label, n FROM t CROSS JOIN {_MODEL_NAMES}""",
