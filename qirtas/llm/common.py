@@ -8,7 +8,9 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 # Rows, and about so many bytes of text, that are Python objects at the same time.
 SLICE_ROWS = 512
@@ -73,6 +75,23 @@ ARROW = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}
 
 
 def key_field(df: DataFrame, key: str) -> tuple[str, tuple[str, pa.DataType]]:
-    """A key column's declaration for Spark and for Arrow; long, int and string keys."""
-    kind = df.schema[key].dataType.simpleString()
-    return f"`{key}` {kind}", (key, ARROW[kind])
+    """A key column's declaration for Spark and for Arrow; any type that Arrow can carry."""
+    kind = df.schema[key].dataType
+    return f"{quoted(key)} {kind.simpleString()}", (key, to_arrow_type(kind))
+
+
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores behind it as long as a column of ``df`` has it (in whatever case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def fields_of(row: str, names: list[str]) -> list[Column]:
+    """The fields of a struct column as columns, whatever their names."""
+    return [F.col(f"{row}.{quoted(c)}").alias(c) for c in names]

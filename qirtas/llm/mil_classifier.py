@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from qirtas.llm import common
 from qirtas.storage import materialize
@@ -237,10 +238,10 @@ def fit(
     return fit_bags(bags, np.array([r.y for r in found]))
 
 
-def score(df: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """``keep`` columns (default: all) and ``_score``; null and empty texts are scored too."""
+def score(df: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None, into: str = "_score") -> DataFrame:
+    """``keep`` columns (default: all, whatever their names) and ``into``; null and empty texts are scored too."""
     keep = df.columns if keep is None else keep
-    rows = df.select(F.col(text).alias("_text"), F.struct(*[F.col(c) for c in keep]).alias("_row"))
+    rows = df.select(F.col(text).alias("_text"), F.struct(*[F.col(common.quoted(c)) for c in keep]).alias("_row"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -249,13 +250,14 @@ def score(df: DataFrame, model: Model, text: str = "text", keep: list[str] | Non
                 scores = model.scores([passages(t) for t in part.column(0).to_pylist()])
                 yield pa.RecordBatch.from_arrays([part.column(1), pa.array(scores, pa.float64())], ["_row", "_score"])
 
-    row = rows.schema["_row"].dataType.simpleString()
-    return rows.mapInArrow(run, f"_row {row}, _score double").select("_row.*", "_score")
+    schema = T.StructType([T.StructField("_row", rows.schema["_row"].dataType), T.StructField("_score", T.DoubleType())])
+    return rows.mapInArrow(run, schema).select(*common.fields_of("_row", keep), F.col("_score").alias(into))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, min_score: float = 0.5) -> DataFrame:
     """The rows that the model, fitted on them and their labels, scores at least so high."""
-    return score(docs, fit(docs, labels)).filter(F.col("_score") >= min_score).drop("_score")
+    into = common.free_name(docs, "_score")
+    return score(docs, fit(docs, labels), into=into).filter(F.col(into) >= min_score).drop(into)
 
 
 def op4_mil_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,7 +5,7 @@ import public_tokenizers
 
 import __spark_entry__ as contract
 import corpus_pipeline as cp
-from qirtas.llm import common, mil_classifier, quality_rules
+from qirtas.llm import common, mil_classifier, quality_rules, substring_dedup
 from qirtas.llm.queries import QUERIES, SQL
 from qirtas.llm.words import tokenizer
 from tests.llm.test_ngram_join import brute
@@ -31,7 +31,7 @@ def test_stages_and_run(spark, small):
     assert set(kept[2]) == {i for i, s in zip(kept[1], scores, strict=True) if s >= 0.5}
     groups = brute(list(kept[2].items()))
     assert set(kept[3]) == {i for i, (_, c) in groups.items() if i == c} and len(kept[3]) < len(kept[2])
-    assert kept[4] == {i: t for i, t, _ in plain_dedup(list(kept[3].items()))}
+    assert kept[4] == {i: t for i, t, *_ in plain_dedup(list(kept[3].items()))}
     rows = docs.collect()
     sequences, pieces = check_whole(rows, 2048)
     encode = tokenizer(public_tokenizers.path("word_bpe_49k.json")).encode
@@ -50,11 +50,24 @@ def test_clean_documents_stay():
 
 def test_registered():
     assert set(QUERIES) | {"pipeline"} <= set(contract.queries()) and set(SQL) <= set(contract.oracle_sql())
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 def test_empty_tables(spark, tmp_path):
-    for name, schema in [("documents", "doc_id long, text string, lang string, source string, n_chars long"), ("labels", "doc_id long, quality int, toxic int"), ("pages", "page_id long, url string, html string"), ("embeddings", "vec_id long, embedding array<float>, label int")]:
+    for name, schema in [("documents", "doc_id long, text string, lang string, source string, n_chars long"), ("labels", "doc_id long, quality int, toxic int"), ("pages", "page_id long, url string, html string"), ("embeddings", "vec_id long, embedding array<float>, label int"), ("benchmark", "item_id long, text string")]:
         spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/{name}.parquet")
     for query in [*QUERIES.values(), cp.run]:
         assert query(spark, str(tmp_path)).count() == 0
+
+
+def test_extra_columns_keep_their_names(spark):
+    """Names with blanks and names that the stages use inside pass through the first four stages."""
+    rows = [(i, " ".join(f"w{i * k % 97}x{k}" for k in range(60)) + ".", i % 2) for i in range(30)]
+    extra = "`my col` int, judged string, _score string, _dedup string, _digest string, n_chars int"
+    df = spark.createDataFrame([(i, t, 7, "a", "b", "c", "d", len(t)) for i, t, _ in rows], f"doc_id smallint, text string, {extra}")
+    labels = spark.createDataFrame([(i, q) for i, _, q in rows], "doc_id long, quality int")
+    stages = [quality_rules.clean_documents, lambda d: mil_classifier.keep_good(d, labels, 0.0), substring_dedup.cut_documents]
+    for stage in stages:
+        out = stage(df)
+        assert out.dtypes == df.dtypes
+        assert {tuple(r[2:7]) for r in out.collect()} == {(7, "a", "b", "c", "d")}
