@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from qirtas.llm import common
 
@@ -21,8 +22,8 @@ SPACE = "\x20\x09-\x0d"
 MIN_WORDS = 10
 MAX_REPEATED = 20  # hundredths of the words
 MAX_LOST = 50  # hundredths of the characters in lines
-# In a short text one boilerplate line weighs much: up to so many characters, so much may go.
-SHORT_CHARS, MAX_LOST_SHORT = 200, 80
+# In a short text one boilerplate line weighs much: so much more may go, up to a share.
+MORE_LOST, MAX_LOST_SHORT = 60, 80
 WINDOW = 5
 
 # Fixed values of the line rules.
@@ -31,9 +32,14 @@ PHRASES = [
     "all rights reserved", "accept cookies", "cookie policy", "we use cookies", "privacy policy",
     "terms of use", "terms of service", "enable javascript", "javascript is disabled", "lorem ipsum",
     "click here", "sign up", "log in", "subscribe now", "skip to content", "back to top", "read more",
-    "licensed under", "is licensed", "copyright (c)", "©",
+    "this work is licensed under", "licensed under the apache license", "licensed under the mit license",
+    "licensed under cc", "is licensed under", "licensed under",
+    "alle rechte vorbehalten", "cookies akzeptieren", "mehr erfahren", "weiterlesen", "jetzt anmelden",
+    "tous droits réservés", "accepter les cookies", "en savoir plus", "lire la suite", "mentions légales",
+    "todos los derechos reservados", "aceptar cookies", "leer más", "aviso legal", "política de privacidad",
 ]
-BOILERPLATE_WORDS = 40
+COPYRIGHTS = ["copyright (c)", "©"]  # a year may follow
+PHRASE_SHARE = 40  # at least so many hundredths of the words are phrases
 MARK_SHARE = 20  # at least so many hundredths of the words are marks of navigation
 BROKEN_SHARE = 30  # ... have a run of symbols
 SHOUTED_SHARE = 50  # ... end in two exclamation marks
@@ -42,7 +48,10 @@ UNSTOPPED_WORDS = 100  # words of a line without any punctuation
 _WORD = re.compile(rf"[^{SPACE}]+")
 _BROKEN = re.compile(r"[#*$%&]{3}")
 _STOP = re.compile(r"[.!?,;:…。！？，、؟،।]")
-_PHRASE = re.compile("|".join(re.escape(p) for p in PHRASES))
+_PHRASE_PATTERN = "|".join(
+    [rf"\b{p}\b" for p in PHRASES] + [rf"{re.escape(p).replace(chr(92) + ' ', ' ')}(?: [0-9]{{4}})?" for p in COPYRIGHTS]
+)
+_PHRASE = re.compile(_PHRASE_PATTERN, re.ASCII)
 _ASCII_LOWER = {c: c + 32 for c in range(65, 91)}
 _MARKS = frozenset(MARKS)
 
@@ -53,7 +62,8 @@ def line_fails(line: str) -> bool:
     marks = sum(w in _MARKS for w in words)
     if marks >= 2 and 100 * marks >= MARK_SHARE * n:
         return True
-    if n <= BOILERPLATE_WORDS and _PHRASE.search(line.translate(_ASCII_LOWER)):
+    phrases = sum(m.count(" ") + 1 for m in _PHRASE.findall(line.translate(_ASCII_LOWER)))
+    if phrases and 100 * phrases >= PHRASE_SHARE * n:
         return True
     if "!!" in line and 100 * sum(w.endswith("!!") for w in words) >= SHOUTED_SHARE * n and n >= 3:
         return True
@@ -114,8 +124,8 @@ def judge_text(text: str | None) -> tuple:
             good.append(line)
     repeated = repeated_words(words)
     base_failed = n < MIN_WORDS or 100 * repeated > MAX_REPEATED * n
-    limit = MAX_LOST_SHORT if total <= SHORT_CHARS else MAX_LOST
-    kept = not base_failed and 100 * lost <= limit * total
+    limit = min(MAX_LOST_SHORT * total, MAX_LOST * total + 100 * MORE_LOST)
+    kept = not base_failed and 100 * lost <= limit
     return (n, chars, symbols, duplicates, repeated, base_failed, kept, lines, failed, lost, "\n".join(good))
 
 
@@ -125,17 +135,19 @@ FIELDS = [
     ("n_failed_lines", "long"), ("lost_chars", "long"), ("cleaned", "string"),
 ]
 _ARROW = {"long": pa.int64(), "boolean": pa.bool_(), "string": pa.string()}
+_TYPES = {"long": T.LongType(), "boolean": T.BooleanType(), "string": T.StringType()}
+_JUDGED = T.StructType([T.StructField(n, _TYPES[t]) for n, t in FIELDS])
 
 
-def judge(df: DataFrame, text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """``keep`` columns (default: all) and a struct ``judged`` of each row; no row moves.
+def judge(df: DataFrame, text: str = "text", keep: list[str] | None = None, into: str = "judged") -> DataFrame:
+    """``keep`` columns (default: all) and a struct ``into`` of each row; no row moves.
 
     A null or empty text has no words and is rejected.  Repeated rows and null
-    keys are judged like any other; other columns pass through unchanged.
+    keys are judged like any other; other columns pass through unchanged, whatever
+    their names.
     """
     keep = df.columns if keep is None else keep
-    rows = df.select(F.col(text).alias("_text"), F.struct(*[F.col(c) for c in keep]).alias("_row"))
-    schema = ", ".join([f"`{n}` {t}" for n, t in FIELDS])
+    rows = df.select(F.col(text).alias("_text"), F.struct(*[F.col(common.quoted(c)) for c in keep]).alias("_row"))
 
     def run(batches):
         for batch in batches:
@@ -148,15 +160,16 @@ def judge(df: DataFrame, text: str = "text", keep: list[str] | None = None) -> D
                 )
                 yield pa.RecordBatch.from_arrays([part.column(1), judged], ["_row", "judged"])
 
-    row = rows.schema["_row"].dataType.simpleString()
-    out = rows.mapInArrow(run, f"_row {row}, judged struct<{schema.replace(' ', ':').replace(',:', ',')}>")
-    return out.select("_row.*", "judged")
+    schema = T.StructType([T.StructField("_row", rows.schema["_row"].dataType), T.StructField("judged", _JUDGED)])
+    out = rows.mapInArrow(run, schema)
+    return out.select(*common.fields_of("_row", keep), F.col("judged").alias(into))
 
 
 def clean_documents(df: DataFrame, text: str = "text", n_chars: str = "n_chars") -> DataFrame:
     """The kept rows with their failing lines removed; columns as before."""
-    judged = judge(df, text)
-    cleaned = judged.filter("judged.kept").withColumn(text, F.col("judged.cleaned")).drop("judged")
+    into = common.free_name(df, "judged")
+    cleaned = judge(df, text, into=into).filter(F.col(f"{into}.kept"))
+    cleaned = cleaned.withColumn(text, F.col(f"{into}.cleaned")).drop(into)
     if n_chars in df.columns:
         cleaned = cleaned.withColumn(n_chars, F.length(text).cast(df.schema[n_chars].dataType))
     return cleaned
@@ -168,7 +181,7 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _Q = lambda s: s.replace("'", "''")
-_PHRASES_SQL = _Q("|".join(re.escape(p).replace(r"\ ", " ") for p in PHRASES))
+_PHRASES_SQL = _Q(_PHRASE_PATTERN)
 _MARKS_SQL = ", ".join(f"'{m}'" for m in MARKS)
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 SQL = rf"""
@@ -187,10 +200,11 @@ counted AS (SELECT doc_id, pos, line, len(words) AS n, length(line) AS chars,
     len(list_filter(words, lambda w: w IN ({_MARKS_SQL}))) AS marks,
     len(list_filter(words, lambda w: regexp_matches(w, '[#*$%&]{{3}}'))) AS broken,
     len(list_filter(words, lambda w: ends_with(w, '!!'))) AS shouted,
-    regexp_matches(translate(line, '{_UPPER}', '{_UPPER.lower()}'), '{_PHRASES_SQL}') AS phrase,
+    list_sum(list_transform(regexp_extract_all(translate(line, '{_UPPER}', '{_UPPER.lower()}'), '{_PHRASES_SQL}'),
+        lambda m: len(string_split(m, ' ')))) AS phrases,
     regexp_matches(line, '{_STOP.pattern}') AS stopped,
     row_number() OVER (PARTITION BY doc_id, line ORDER BY pos) > 1 AS duplicate FROM lines),
-judged AS (SELECT *, (marks >= 2 AND 100 * marks >= {MARK_SHARE} * n) OR (n <= {BOILERPLATE_WORDS} AND phrase)
+judged AS (SELECT *, (marks >= 2 AND 100 * marks >= {MARK_SHARE} * n) OR coalesce(100 * phrases >= {PHRASE_SHARE} * n, false)
     OR (n >= 3 AND shouted > 0 AND 100 * shouted >= {SHOUTED_SHARE} * n)
     OR (broken >= 2 AND 100 * broken >= {BROKEN_SHARE} * n)
     OR (n >= {UNSTOPPED_WORDS} AND NOT stopped) AS fails FROM counted),
@@ -204,6 +218,6 @@ SELECT doc_id, n_words, word_chars, n_symbols, coalesce(n_dup_lines, 0) AS n_dup
     coalesce(n_failed_lines, 0) AS n_failed_lines, coalesce(lost_chars, 0) AS lost_chars,
     n_words < {MIN_WORDS} OR 100 * coalesce(n_repeat_words, 0) > {MAX_REPEATED} * n_words AS base_failed,
     NOT (n_words < {MIN_WORDS} OR 100 * coalesce(n_repeat_words, 0) > {MAX_REPEATED} * n_words)
-        AND 100 * coalesce(lost_chars, 0) <= CASE WHEN total <= {SHORT_CHARS} THEN {MAX_LOST_SHORT} ELSE {MAX_LOST} END * coalesce(total, 0) AS kept
+        AND 100 * coalesce(lost_chars, 0) <= least({MAX_LOST_SHORT} * coalesce(total, 0), {MAX_LOST} * coalesce(total, 0) + {100 * MORE_LOST}) AS kept
 FROM base LEFT JOIN repeated USING (doc_id) LEFT JOIN per_doc USING (doc_id)
 """

@@ -38,6 +38,14 @@ def test_repeats(seed):
         ("He paid 3/4 of it and/or more.", False),
         ("© 2020 Example", True),
         ("Click here to subscribe", True),
+        ("This work is licensed under the GNU General Public License, version 3.", True),
+        ("Licensed under the Apache License, Version 2.0.", True),
+        ("Licensed under CC BY-NC 4.0.", True),
+        ("Alle Rechte vorbehalten.", True),
+        ("They read more books in winter because the analog input was broken and cold.", False),
+        ("The gardener will spread more evenly the seeds that grow along in spring time.", False),
+        ("She signed the design up to the last page; he would log in later from the catalog index.", False),
+        ("spread more", False),
         ("WOW!! BUY!! NOW!!", True),
         ("It was great!! We went home.", False),
         ("of%%% the&&& in***", True),
