@@ -13,13 +13,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from qirtas.llm import common
 
-# Chunks end where the top bits of the hash are 0: every 16 bytes or so, behind the least size.
-TOP_BITS, LEAST, MOST = 4, 16, 512
+# Chunks end where the top bits of the hash are 0: every 32 bytes or so, behind the least size.
+TOP_BITS, LEAST, MOST = 5, 16, 512
 MIN_WORDS = 20
 _random = np.random.default_rng(20_240)
 GEAR = _random.integers(0, 1 << 16, 256, np.uint16)
@@ -63,11 +64,6 @@ def digests(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return (h ^ (h >> np.uint64(32))).view(np.int64)
 
 
-def text_bits(text: str) -> Column:
-    """31 bits that tell apart rows with the same id, above the number of a chunk."""
-    return F.shiftleft(F.xxhash64(text).bitwiseAND((1 << 31) - 1), 32)
-
-
 def repeated_spans(data: np.ndarray, starts: np.ndarray, repeated: np.ndarray, min_words: int) -> list[tuple[int, int]]:
     """Byte ranges of whole words in runs of repeated chunks with enough words."""
     flags = np.zeros(len(starts) + 2, np.int8)
@@ -89,11 +85,21 @@ def repeated_spans(data: np.ndarray, starts: np.ndarray, repeated: np.ndarray, m
     return spans
 
 
+def chunks_within(places: np.ndarray, ends: np.ndarray, spans: list[tuple[int, int]]) -> int:
+    """How many of these chunks lie in a span, at least with one byte."""
+    if not spans:
+        return 0
+    begin, end = np.array(spans).T
+    at = np.searchsorted(end, ends[places], "right")
+    at = np.minimum(at, len(end) - 1)
+    return int(((ends[places + 1] > begin[at]) & (ends[places] < end[at])).sum())
+
+
 def chunk_rows(df: DataFrame, key: str, text: str) -> DataFrame:
-    """digest, key and place (text bits and number) of every chunk."""
-    rows = df.select(F.col(key).alias("_key"), text_bits(text).alias("_bits"), F.col(text).alias("_text"))
+    """digest, key, digest of the whole text (it tells rows with one key apart) and number of every chunk."""
+    rows = df.select(F.col(key).alias("_key"), F.xxhash64(text).alias("whole"), F.col(text).alias("_text"))
     declared, field = common.key_field(rows, "_key")
-    schema = pa.schema([("digest", pa.int64()), field, ("place", pa.int64())])
+    schema = pa.schema([("digest", pa.int64()), field, ("whole", pa.int64()), ("number", pa.int32())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -108,20 +114,21 @@ def chunk_rows(df: DataFrame, key: str, text: str) -> DataFrame:
                 total = int(counts.sum())
                 at = np.repeat(np.arange(len(counts)), counts)
                 number = np.arange(total) - np.repeat(np.cumsum(counts) - counts, counts)
-                bits = part.column(1).to_numpy()[at]
+                whole = part.column(1).to_numpy()[at]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(found)), part.column(0).take(pa.array(at)), pa.array(bits + number)],
+                    [pa.array(np.concatenate(found)), part.column(0).take(pa.array(at)), pa.array(whole), pa.array(number, pa.int32())],
                     schema=schema,
                 )
 
-    return rows.mapInArrow(run, f"digest long, {declared}, place long")
+    return rows.mapInArrow(run, f"digest long, {declared}, whole long, number int")
 
 
 def dedup(
     df: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS, into: str = "dedup"
 ) -> DataFrame:
-    """All columns, and a struct ``into``: n_bytes, n_chunks, n_repeated_chunks,
-    removed_bytes, spans (byte ranges that went) and the text that stays.
+    """All columns, and a struct ``into``: n_bytes, n_chunks, n_known_chunks (met before),
+    n_repeated_chunks (those of them in spans that went), removed_bytes, spans (byte
+    ranges that went) and the text that stays.
 
     The first occurrence is the one with the smallest key, then place; null keys
     come last.  A row repeated as a whole is one document: each of its copies
@@ -130,38 +137,38 @@ def dedup(
     a third of all chunks share arrives as a row per task, and the join splits it.
     """
     chunks = chunk_rows(df, key, text)
-    order = F.struct(F.col("_key").isNull().alias("none"), "_key", "place")
+    order = F.struct(F.col("_key").isNull().alias("none"), "_key", "whole", "number")
     first = (
         chunks.groupBy("digest")
         .agg(F.min(order).alias("first"), F.max(order).alias("last"))
         .filter("first != last")
-        .select("digest", F.col("first._key").alias("_first_key"), F.col("first.place").alias("_first_place"))
+        .select("digest", *[F.col(f"first.{c}").alias(f"_first{c}") for c in ("_key", "whole", "number")])
     )
-    is_first = F.col("_key").eqNullSafe(F.col("_first_key")) & (F.col("place") == F.col("_first_place"))
+    is_first = F.col("_key").eqNullSafe(F.col("_first_key")) & (F.col("whole") == F.col("_firstwhole")) & (F.col("number") == F.col("_firstnumber"))
     repeated = (
         chunks.join(first.hint("shuffle_merge"), "digest")
         .filter(~is_first)
-        .groupBy(F.col("_key").alias("_rkey"), F.expr("shiftright(place, 32)").alias("_rbits"))
-        .agg(F.collect_set(F.col("place").bitwiseAND((1 << 32) - 1).cast("int")).alias("repeated"))
+        .groupBy(F.col("_key").alias("_rkey"), F.col("whole").alias("_rwhole"))
+        .agg(F.collect_set("number").alias("repeated"))
     )
     rows = df.select(
         F.col(key).alias("_key"),
-        F.shiftright(text_bits(text), 32).alias("_bits"),
+        F.xxhash64(text).alias("_whole"),
         F.col(text).alias("_text"),
-        F.struct(*[F.col(c) for c in df.columns if c != text]).alias("_row"),
+        F.struct(*[F.col(common.quoted(c)) for c in df.columns if c != text]).alias("_row"),
     )
-    same = F.col("_key").eqNullSafe(F.col("_rkey")) & (F.col("_bits") == F.col("_rbits"))
+    same = F.col("_key").eqNullSafe(F.col("_rkey")) & (F.col("_whole") == F.col("_rwhole"))
     met = rows.join(repeated.hint("shuffle_merge"), same, "left").select("_text", "repeated", "_row")
-    fields = "n_bytes:bigint,n_chunks:bigint,n_repeated_chunks:bigint,removed_bytes:bigint,spans:array<struct<begin:bigint,end:bigint>>,text:string"
-    names = ["n_bytes", "n_chunks", "n_repeated_chunks", "removed_bytes", "spans", "text"]
-    types = [pa.int64()] * 4 + [pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())])), pa.string()]
+    counts = ["n_bytes", "n_chunks", "n_known_chunks", "n_repeated_chunks", "removed_bytes"]
+    names = [*counts, "spans", "text"]
+    types = [pa.int64()] * 5 + [pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())])), pa.string()]
 
     def cut(t: str | None, places: list[int] | None) -> tuple:
         raw = (t or "").encode()
         data = np.frombuffer(raw, np.uint8)
         starts = chunk_starts(data)
         if not places:
-            return len(raw), len(starts), 0, 0, [], t
+            return len(raw), len(starts), 0, 0, 0, [], t
         spans = repeated_spans(data, starts, np.array(places), min_words)
         kept, at = [], 0
         for a, b in spans:
@@ -169,7 +176,8 @@ def dedup(
             at = b
         left = b"".join([*kept, raw[at:]])
         listed = [{"begin": a, "end": b} for a, b in spans]
-        return len(raw), len(starts), len(places), len(raw) - len(left), listed, left.decode()
+        within = chunks_within(np.array(places), np.append(starts, len(data)), spans)
+        return len(raw), len(starts), len(places), within, len(raw) - len(left), listed, left.decode()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -180,14 +188,19 @@ def dedup(
                 made = pa.StructArray.from_arrays([pa.array(v, t) for v, t in zip(values, types, strict=True)], names)
                 yield pa.RecordBatch.from_arrays([part.column(2), made], ["_row", "dedup"])
 
-    row = met.schema["_row"].dataType.simpleString()
-    out = met.mapInArrow(run, f"_row {row}, dedup struct<{fields}>")
-    return out.select(*[F.col("dedup.text").alias(c) if c == text else F.col(f"_row.`{c}`") for c in df.columns], F.col("dedup").alias(into))
+    span = T.StructType([T.StructField("begin", T.LongType()), T.StructField("end", T.LongType())])
+    kinds = [T.LongType()] * 5 + [T.ArrayType(span), T.StringType()]
+    cut_type = T.StructType([T.StructField(n, k) for n, k in zip(names, kinds, strict=True)])
+    schema = T.StructType([T.StructField("_row", met.schema["_row"].dataType), T.StructField("dedup", cut_type)])
+    out = met.mapInArrow(run, schema)
+    kept = [F.col("dedup.text").alias(c) if c == text else F.col(f"_row.{common.quoted(c)}").alias(c) for c in df.columns]
+    return out.select(*kept, F.col("dedup").alias(into))
 
 
 def cut_documents(df: DataFrame, key: str = "doc_id", text: str = "text", n_chars: str = "n_chars") -> DataFrame:
     """The rows with repeated passages cut out of their text; columns as before."""
-    out = dedup(df, key, text, into="_dedup").drop("_dedup")
+    into = common.free_name(df, "_dedup")
+    out = dedup(df, key, text, into=into).drop(into)
     if n_chars in df.columns:
         out = out.withColumn(n_chars, F.length(text).cast(df.schema[n_chars].dataType))
     return out
@@ -195,5 +208,5 @@ def cut_documents(df: DataFrame, key: str = "doc_id", text: str = "text", n_char
 
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
-    fields = ["n_bytes", "n_chunks", "n_repeated_chunks", "removed_bytes", "spans"]
+    fields = ["n_bytes", "n_chunks", "n_known_chunks", "n_repeated_chunks", "removed_bytes", "spans"]
     return dedup(docs).select("doc_id", *[F.col(f"dedup.{n}") for n in fields], "text")

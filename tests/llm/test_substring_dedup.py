@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+import xxhash
 
 from qirtas.llm import substring_dedup as sd
 
@@ -21,7 +22,7 @@ def plain_starts(data):
         if i - last >= sd.MOST:
             last += sd.MOST
             starts.append(last)
-        if h >> 12 == 0 and i + 1 - last >= sd.LEAST and i + 1 < len(data):
+        if h >> (16 - sd.TOP_BITS) == 0 and i + 1 - last >= sd.LEAST and i + 1 < len(data):
             last = i + 1
             starts.append(last)
     return starts
@@ -53,6 +54,7 @@ def words(rng, n):
 def plain_dedup(rows):
     """What dedup does, with dictionaries."""
     key = lambda i: (i is None, i or 0)
+    whole = lambda t: np.uint64(xxhash.xxh64(t.encode(), seed=42).intdigest()).astype(np.int64)
     chunks, first = {}, {}
     for i, t in {(i, t or "") for i, t in rows}:
         data = raw(t)
@@ -60,19 +62,21 @@ def plain_dedup(rows):
         chunks[i, t] = [data[a:b].tobytes() for a, b in zip(s, [*s, len(data)][1:], strict=True)] if t else []
     for (i, t), parts in chunks.items():
         for k, part in enumerate(parts):
-            place = (key(i), k, t)
+            place = (key(i), whole(t), k)
             first[part] = min(first.get(part, place), place)
     out = []
     for i, t in rows:
         parts = chunks[i, t or ""]
-        repeated = [k for k, p in enumerate(parts) if first[p] != (key(i), k, t or "")]
+        repeated = [k for k, p in enumerate(parts) if first[p] != (key(i), whole(t or ""), k)]
         data = raw(t)
         spans = sd.repeated_spans(data, sd.chunk_starts(data), np.array(repeated, int), sd.MIN_WORDS) if repeated else []
         text, at = b"", 0
         for a, b in spans:
             text += data[at:a].tobytes()
             at = b
-        out.append((i, None if t is None else (text + data[at:].tobytes()).decode(), len(repeated)))
+        ends = [*sd.chunk_starts(data), len(data)]
+        within = sum(any(ends[k] < b and ends[k + 1] > a for a, b in spans) for k in repeated)
+        out.append((i, None if t is None else (text + data[at:].tobytes()).decode(), len(repeated), within))
     return out
 
 
@@ -84,7 +88,7 @@ def test_planted_passages(spark):
     rows += [(200, rows[0][1]), (None, None), (300, ""), (7, rows[7][1]), (None, rows[8][1]), (301, "x" * 4000), (302, "é " * 3000), (303, "é " * 3000)]
     df = spark.createDataFrame([(*r, "clash", 1) for r in rows], "doc_id long, text string, dedup string, n_chars long")
     got = sd.dedup(df.drop("dedup")).collect()
-    assert sorted(map(str, [(r.doc_id, r.text, r.dedup.n_repeated_chunks) for r in got])) == sorted(map(str, plain_dedup(rows)))
+    assert sorted(map(str, [(r.doc_id, r.text, r.dedup.n_known_chunks, r.dedup.n_repeated_chunks) for r in got])) == sorted(map(str, plain_dedup(rows)))
     text = {r.doc_id: r.text for r in got if r.doc_id is not None}
     kept = [k for k in range(30) if passage in text[k]]
     assert kept == [0]
@@ -99,5 +103,16 @@ def test_planted_passages(spark):
 
 def test_query(spark, small):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{small}/documents.parquet").collect()]
-    got = [(r.doc_id, r.text, r.n_repeated_chunks) for r in sd.op9_substring_dedup(spark, small).collect()]
+    got = [(r.doc_id, r.text, r.n_known_chunks, r.n_repeated_chunks) for r in sd.op9_substring_dedup(spark, small).collect()]
     assert sorted(map(str, got)) == sorted(map(str, plain_dedup(rows)))
+
+
+def test_many_rows_without_a_key(spark):
+    """Rows are told apart by their whole texts: none is cut at another's places."""
+    rng = random.Random(6)
+    passage = words(rng, 60)
+    rows = [(None, words(rng, 30)) for _ in range(200)] + [(None, f"{words(rng, 20)} {passage} {words(rng, 20)}") for _ in range(20)]
+    df = spark.createDataFrame([(*r, 1) for r in rows], "doc_id smallint, text string, `my col` int")
+    got = [(r.doc_id, r.text, r.d.n_known_chunks, r.d.n_repeated_chunks) for r in sd.dedup(df, into="d").collect()]
+    assert sorted(map(str, got)) == sorted(map(str, plain_dedup(rows)))
+    assert sum(passage in t for _, t, _, _ in got) == 1
