@@ -18,23 +18,33 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from qirtas.llm import common
 from qirtas.storage import materialize
 
 PIVOTS = 16
-DATA_BLOCK, QUERY_BLOCK = 512, 128
-LEAF, CHILDREN, SHRINK = 32, 16, 1.3
+DATA_BLOCK, QUERY_BLOCK = 1024, 128
+# Leaves are large enough for one product of matrices to outweigh what a pair of nodes costs.
+LEAF, CHILDREN, SHRINK = 128, 4, 1.3
+# Tasks that share the data blocks of a query block.
+PARTS = 16
 SCALE = 256
+LARGEST = 1e300  # components beyond count as this
+NONE = np.iinfo(np.int64).min  # the score of an empty place
 
 
-def integers(vector: str):
-    """floor(256 x) of each component; null if a component is null or not finite."""
+def finite(vector: str) -> Column:
+    """The components as doubles; null if one is null or not finite."""
     x = F.col(vector)
     good = F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
-    return F.when(good, F.transform(x, lambda v: F.floor(v.cast("double") * SCALE).cast("long")))
+    return F.when(good, F.transform(x, lambda v: v.cast("double")))
+
+
+def whole(x: np.ndarray) -> np.ndarray:
+    """floor(256 x): whole numbers, exact in doubles however large."""
+    return np.floor(np.clip(x, -LARGEST, LARGEST) * SCALE)
 
 
 class CoverTree:
@@ -48,6 +58,8 @@ class CoverTree:
             self._build(0, len(ids))
         self.centre = self.x[np.array(self.begin, int)].astype(float)
         self.length = np.sqrt((self.centre**2).sum(1))
+        far = np.sqrt((self.x.astype(float) ** 2).sum(1))
+        self.longest = np.array([far[b:e].max() for b, e in zip(self.begin, self.end, strict=True)])
 
     def _build(self, begin: int, end: int) -> int:
         """A node over a range whose first point is its centre; returns its number."""
@@ -59,7 +71,7 @@ class CoverTree:
         self.end.append(end)
         self.radius.append(radius)
         self.children.append([])
-        if end - begin <= self.leaf or radius == 0:
+        if end - begin <= self.leaf or radius == 0 or not np.isfinite(radius):
             return me
         owner, near = np.zeros(len(part), int), far
         chosen = 1
@@ -81,30 +93,47 @@ class CoverTree:
 
 
 def exact_products(q: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """Integer inner products; by floating point only where that is exact."""
-    largest = max(int(np.abs(q).max(initial=0)), 1) * max(int(np.abs(x).max(initial=0)), 1) * max(q.shape[1], 1)
+    """Inner products of whole numbers; by floating point only where that is exact.
+
+    A product beyond 64 bits counts as the nearest number within them.
+    """
+    largest = max(np.abs(q).max(initial=0), 1) * max(np.abs(x).max(initial=0), 1) * max(q.shape[1], 1)
     if largest < 1 << 52:
         return (q.astype(float) @ x.T.astype(float)).astype(np.int64)
-    return (q.astype(object) @ x.T.astype(object)).astype(np.int64)
+    exact = np.vectorize(int, otypes=[object])
+    products = (exact(q) if q.size else q.astype(object)) @ (exact(x) if x.size else x.astype(object)).T
+    return np.clip(products, NONE + 1, np.iinfo(np.int64).max).astype(np.int64)
 
 
 class Best:
-    """The k best (score, smaller id first) of each query so far."""
+    """The k best (score, smaller id first) of each query so far, best first."""
 
     def __init__(self, n: int, k: int, floor: np.ndarray | None = None):
-        self.k = k
-        self.heaps: list[list[tuple[int, int]]] = [[] for _ in range(n)]
-        self.floor = np.full(n, -np.inf) if floor is None else floor.astype(float)
+        self.scores = np.full((n, k), NONE)
+        self.ids = np.full((n, k), np.iinfo(np.int64).max)
+        self.floor = np.full(n, NONE) if floor is None else floor
         self.worst = self.floor.copy()
 
-    def offer(self, at: int, score: int, number: int) -> None:
-        heap, entry = self.heaps[at], (score, -number)
-        if len(heap) < self.k:
-            heapq.heappush(heap, entry)
-        elif entry > heap[0]:
-            heapq.heapreplace(heap, entry)
-        if len(heap) == self.k:
-            self.worst[at] = max(self.floor[at], heap[0][0])
+    def offer(self, begin: int, own: np.ndarray, scores: np.ndarray, ids: np.ndarray) -> None:
+        """Scores of the queries from ``begin`` on, whose ids are ``own``, with the rows ``ids``."""
+        end = begin + len(own)
+        fits = (scores >= self.worst[begin:end, None]) & (own[:, None] != ids[None])
+        at, some = np.flatnonzero(fits.any(1)), np.flatnonzero(fits.any(0))
+        if not len(at):
+            return
+        rows = begin + at
+        new = np.where(fits[np.ix_(at, some)], scores[np.ix_(at, some)], NONE)
+        both = np.concatenate([self.scores[rows], new], 1)
+        names = np.concatenate([self.ids[rows], np.broadcast_to(ids[some], new.shape)], 1)
+        order = np.lexsort((names, ~both), axis=1)[:, : self.scores.shape[1]]  # ~ turns the order around and cannot overflow
+        self.scores[rows] = np.take_along_axis(both, order, 1)
+        self.ids[rows] = np.take_along_axis(names, order, 1)
+        self.worst[rows] = np.maximum(self.floor[rows], self.scores[rows, -1])
+
+    def of(self, at: int) -> list[tuple[int, int]]:
+        """(score, id) of a query, best first."""
+        full = self.scores[at] != NONE
+        return list(zip(self.scores[at][full].tolist(), self.ids[at][full].tolist(), strict=True))
 
 
 def search(queries: CoverTree, data: CoverTree, best: Best) -> int:
@@ -113,10 +142,17 @@ def search(queries: CoverTree, data: CoverTree, best: Best) -> int:
         return 0
 
     def bound(q: int, d: int) -> float:
+        """No product of the nodes is larger: by the radii, and by how far their points are apart at least.
+
+        A bound that is no number, from lengths beyond doubles, prunes nothing.
+        """
         rq, rd = queries.radius[q], data.radius[d]
+        apart = float(np.sqrt(((queries.centre[q] - data.centre[d]) ** 2).sum()))
         centre = float(queries.centre[q] @ data.centre[d])
         most = centre + queries.length[q] * rd + data.length[d] * rq + rq * rd
-        return most + 1e-9 * (abs(most) + 1)
+        square = queries.longest[q] ** 2 + data.longest[d] ** 2
+        least = max(0.0, apart - rq - rd)
+        return min(most, (square - least * least) / 2) + 1e-9 * (square + 1)
 
     met = 0
     stack = [(-bound(0, 0), 0, 0)]
@@ -124,8 +160,7 @@ def search(queries: CoverTree, data: CoverTree, best: Best) -> int:
         negative, q, d = heapq.heappop(stack)
         met += 1
         begin, end = queries.begin[q], queries.end[q]
-        worst = best.worst[begin:end]
-        if -negative < worst.min():
+        if -negative < best.worst[begin:end].min():
             continue
         cq, cd = queries.children[q], data.children[d]
         if cq and (not cd or queries.radius[q] >= data.radius[d]):
@@ -134,14 +169,11 @@ def search(queries: CoverTree, data: CoverTree, best: Best) -> int:
             pairs = [(q, c) for c in cd]
         else:
             x, ids = data.x[data.begin[d] : data.end[d]], data.ids[data.begin[d] : data.end[d]]
-            scores = exact_products(queries.x[begin:end], x)
-            for a, b in zip(*np.nonzero(scores >= worst[:, None]), strict=True):
-                if ids[b] != queries.ids[begin + a]:
-                    best.offer(begin + int(a), int(scores[a, b]), int(ids[b]))
+            best.offer(begin, queries.ids[begin:end], exact_products(queries.x[begin:end], x), ids)
             continue
         for a, b in pairs:
             value = bound(a, b)
-            if value >= best.worst[queries.begin[a] : queries.end[a]].min():
+            if not value < best.worst[queries.begin[a] : queries.end[a]].min():
                 heapq.heappush(stack, (-value, a, b))
     return met
 
@@ -150,25 +182,23 @@ def blocks(cells: DataFrame, size: int, name: str) -> DataFrame:
     """One written row per block: its tree, its centre, radius and number of points."""
     sizes = cells.groupBy("cell", "dim").agg(F.ceil(F.count("*") / size).alias("parts"))
     numbered = cells.join(F.broadcast(sizes), ["cell", "dim"]).withColumn(  # a row per pivot and length
-        "block", F.struct("cell", "dim", F.expr("pmod(xxhash64(id), parts)").alias("part"))
+        "block", F.struct("cell", "dim", F.expr("pmod(xxhash64(id, x), parts)").alias("part"))
     )
 
     def build(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.drop_duplicates(["id", "x"])
-        x = np.stack([np.frombuffer(v, np.int64) for v in pdf["x"]]) if len(pdf) else np.zeros((0, 0), np.int64)
-        tree = CoverTree(pdf["id"].to_numpy().copy(), x)
-        whole = pickle.dumps(tree, 5)
-        return pd.DataFrame(
-            {"dim": [x.shape[1]], "tree": [whole], "n": [len(x)], "radius": [tree.radius[0]], "centre": [tree.centre[0].tolist()]}
-        )
+        with np.errstate(over="ignore", invalid="ignore"):
+            tree = CoverTree(pdf["id"].to_numpy().copy(), np.stack([np.frombuffer(v) for v in pdf["x"]]))
+        facts = {"n": len(pdf), "dim": tree.x.shape[1], "radius": tree.radius[0], "longest": tree.longest[0]}
+        return pd.DataFrame([facts | {"tree": pickle.dumps(tree, 5), "centre": tree.centre[0].tolist()}])[list(names)]
 
-    schema = "dim long, tree binary, n long, radius double, centre array<double>"
+    names = {"dim": "long", "tree": "binary", "n": "long", "radius": "double", "longest": "double", "centre": "array<double>"}
+    schema = ", ".join(f"{n} {t}" for n, t in names.items())
     found = numbered.select("block", "id", "x").groupBy("block").applyInPandas(build, schema)
     return materialize(found.withColumn("number", F.monotonically_increasing_id()), name)
 
 
 def scored(pairs: DataFrame, k: int, floors: bool) -> DataFrame:
-    """Best rows of each query block over the pairs named; a task meets one data tree at a time."""
+    """Best rows of each query block and part over the pairs named; a task meets one data tree at a time."""
     schema = pa.schema(
         [("q", pa.int64()), ("query_id", pa.int64()), ("rank", pa.int32()), ("vec_id", pa.int64()), ("score", pa.int64())]
     )
@@ -178,29 +208,30 @@ def scored(pairs: DataFrame, k: int, floors: bool) -> DataFrame:
 
         def result() -> pa.RecordBatch:
             rows = []
-            for at, heap in enumerate(best.heaps):
-                for rank, (score, negative) in enumerate(sorted(heap, reverse=True)):
-                    rows.append((number, int(queries.ids[at]), rank + 1, -negative, score))
+            for at, query in enumerate(queries.ids.tolist()):
+                rows += [(number[0], query, rank, row, score) for rank, (score, row) in enumerate(best.of(at), 1)]
             values = list(zip(*rows, strict=True)) or [[]] * 5
             return pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(values, schema, strict=True)], schema=schema)
 
-        for q, query_tree, floor, data_tree in (r for part in common.slices(batches, 16) for r in zip(*part, strict=True)):
-            if q != number:
+        for q, part, query_tree, floor, data_tree in (r for some in common.slices(batches, 16) for r in zip(*some, strict=True)):
+            if (q, part) != number:
                 if number is not None:
                     yield result()
-                number, queries = q, pickle.loads(query_tree)
+                number, queries = (q, part), pickle.loads(query_tree)
                 # k rows of an id's one vector bound what its others may add.
-                known: dict[int, float] = {}
+                known: dict[int, int] = {}
                 for f in floor or []:
-                    known[f["query_id"]] = max(f["score"], known.get(f["query_id"], -np.inf))
-                best = Best(len(queries.ids), k, np.array([known.get(int(i), -np.inf) for i in queries.ids]))
-            search(queries, pickle.loads(data_tree), best)
+                    known[f["query_id"]] = max(f["score"], known.get(f["query_id"], NONE))
+                best = Best(len(queries.ids), k, np.array([known.get(int(i), NONE) for i in queries.ids], np.int64))
+            with np.errstate(over="ignore", invalid="ignore"):
+                search(queries, pickle.loads(data_tree), best)
         if number is not None:
             yield result()
 
     floor = F.col("floor") if floors else F.lit(None).cast("array<struct<query_id:bigint,score:bigint>>")
-    ordered = pairs.repartition("q").sortWithinPartitions("q", F.desc("bound"))
-    return ordered.select("q", "query_tree", floor.alias("floor"), "data_tree").mapInArrow(
+    ordered = pairs.withColumn("part", F.pmod("d", F.lit(PARTS)))
+    ordered = ordered.repartition("q", "part").sortWithinPartitions("q", "part", F.desc("bound"))
+    return ordered.select("q", "part", "query_tree", floor.alias("floor"), "data_tree").mapInArrow(
         run, "q long, query_id long, rank int, vec_id long, score long"
     )
 
@@ -217,31 +248,33 @@ def top_k(
     Rows repeated as a whole count once; other rows of the query's own key are
     never its neighbours.  Different vectors of a query's key are one query: their
     scores are ranked together, k rows for the key.  Fewer than k candidates give fewer rows, an empty table none.
+    Components beyond 1e300 count as 1e300, scores beyond 64 bits as the nearest number within them.
 
     The first round searches the data blocks of a query block's own pivot; their
     kth scores are floors that prune blocks and nodes of the second round.
     """
-    usable = df.select(F.col(key).cast("long").alias("id"), integers(vector).alias("v")).filter(
+    usable = df.select(F.col(key).cast("long").alias("id"), finite(vector).alias("v")).filter(
         "id IS NOT NULL AND v IS NOT NULL"
     )
-    chosen = [list(r.v) for r in usable.orderBy(F.xxhash64("id"), "id").limit(pivots).select("v").collect()]
+    chosen = [whole(np.array(r.v, float)) for r in usable.orderBy(F.xxhash64("id"), "id").limit(pivots).select("v").collect()]
 
     def nearest(columns: list[list]) -> list[list]:
         cells, dims, blobs = [], [], []
-        for v in columns[1]:
-            x = np.array(v, np.int64)
-            same = [(float(((x - np.array(p, float)) ** 2).sum()), c) for c, p in enumerate(chosen) if len(p) == len(x)]
-            cells.append(min(same)[1] if same else -1)
-            dims.append(len(x))
-            blobs.append(x.tobytes())
+        with np.errstate(over="ignore", invalid="ignore"):
+            for v in columns[1]:
+                x = whole(np.array(v, float)) + 0.0  # no negative zero: equal vectors have equal bytes
+                same = [(float(((x - p) ** 2).sum()), c) for c, p in enumerate(chosen) if len(p) == len(x)]
+                cells.append(min(same)[1] if same else -1)
+                dims.append(len(x))
+                blobs.append(x.tobytes())
         return [columns[0], cells, dims, blobs]
 
     cells = common.map_rows(
         usable, nearest, "id long, cell int, dim int, x binary",
         pa.schema([("id", pa.int64()), ("cell", pa.int32()), ("dim", pa.int32()), ("x", pa.binary())]),
     )
-    cells = materialize(cells, "cells")
-    keep = ["number", "dim", "n", "radius", "centre", "tree"]
+    cells = materialize(cells.dropDuplicates(["id", "x"]), "cells")
+    keep = ["number", "dim", "n", "radius", "longest", "centre", "tree"]
     data = blocks(cells, data_block, "data-blocks").select(*[F.col(c).alias(f"data_{c}") for c in keep])
     queries = blocks(cells.filter(F.col("id") % every == 0), query_block, "query-blocks").select(
         *[F.col(c).alias(f"query_{c}") for c in keep]
@@ -254,6 +287,11 @@ def top_k(
         + norm("data_centre") * F.col("query_radius")
         + F.col("query_radius") * F.col("data_radius")
     )
+    # As in ``search``, of whole blocks.
+    apart = F.aggregate(F.zip_with("query_centre", "data_centre", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda a, v: a + v)
+    least = F.greatest(F.lit(0.0), F.sqrt(apart) - F.col("query_radius") - F.col("data_radius"))
+    square = F.col("query_longest") * F.col("query_longest") + F.col("data_longest") * F.col("data_longest")
+    bound = F.least(most, (square - least * least) / 2) + 1e-9 * (square + 1)
     # Blocks with blocks, by their summaries only; rows are not paired here.
     pairs = (
         queries.drop("query_tree")
@@ -261,7 +299,7 @@ def top_k(
         .select(
             F.col("query_number").alias("q"),
             F.col("data_number").alias("d"),
-            (most + 1e-9 * (F.abs(most) + 1)).alias("bound"),
+            bound.alias("bound"),
         )
     )
     pairs = materialize(pairs, "block-pairs")

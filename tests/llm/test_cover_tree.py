@@ -22,7 +22,7 @@ def clustered(rng, n, dim, spread):
 def test_trees(spread):
     rng = np.random.default_rng(3)
     x, q = clustered(rng, 900, 8, spread), clustered(rng, 70, 8, spread)
-    data, queries = ct.CoverTree(np.arange(900), x.copy()), ct.CoverTree(np.arange(70) + 5, q.copy())
+    data, queries = ct.CoverTree(np.arange(900), x.copy(), 32), ct.CoverTree(np.arange(70) + 5, q.copy(), 32)
     for tree in (data, queries):
         for b, e, r, kids in zip(tree.begin, tree.end, tree.radius, tree.children, strict=True):
             d = np.sqrt(((tree.x[b:e] - tree.x[b]) ** 2).sum(1))
@@ -32,8 +32,8 @@ def test_trees(spread):
     met = ct.search(queries, data, best)
     for at, number in enumerate(queries.ids):
         scores = q[number - 5] @ x.T
-        want = sorted(((int(s), -i) for i, s in enumerate(scores) if i != number), reverse=True)[:5]
-        assert sorted(best.heaps[at], reverse=True) == want
+        want = sorted((-int(s), i) for i, s in enumerate(scores) if i != number)[:5]
+        assert best.of(at) == [(-s, i) for s, i in want]
     if spread == 1:
         assert met < 0.6 * len(data.begin) * len(queries.begin)
 
@@ -77,3 +77,20 @@ def test_different_vectors_of_one_key(spark):
         scores = sorted((-sum(a * b for a, b in zip(v, x, strict=True)), i) for j, v in whole if j == q for i, x in whole if i != q)[:5]
         want += [(q, k + 1, i, -s) for k, (s, i) in enumerate(scores)]
     assert got == want
+
+
+def test_huge_components_take_part(spark):
+    """Beyond what doubles multiply exactly, beyond 64 bits, and the largest doubles there are."""
+    rows = [(0, [1e15, 1.0]), (1, [3.0, -1.0]), (2, [1e-3, 5.0]), (3, [-1e300, 1.0]), (4, [1.7e308, 0.0]), (5, [2e9, 0.1]), (50, [0.5, 0.25]), (6, [-0.0, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted(map(tuple, ct.top_k(df, k=7, data_block=3, query_block=1, pivots=3).collect()))
+
+    def ints(v):
+        return [int(min(max(c, -1e300), 1e300)) * 256 if abs(c) > 1e15 else math.floor(256 * c) for c in v]
+
+    want = []
+    for q in (0, 50):
+        products = [(i, sum(a * b for a, b in zip(ints(dict(rows)[q]), ints(v), strict=True))) for i, v in rows if i != q]
+        clipped = sorted((-max(min(p, 2**63 - 1), -(2**63) + 1), i) for i, p in products)
+        want += [(q, n, i, -s) for n, (s, i) in enumerate(clipped, 1)]
+    assert got == want
