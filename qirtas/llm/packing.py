@@ -58,7 +58,7 @@ def cut_pieces(
         return out
 
     declared = ", ".join([column, *[f"{n} long" for n in names]])
-    return common.map_rows(df.select(key, text), work, declared, schema)
+    return common.map_rows(df.select(key, text), work, declared, schema, lambda: word_ids(path).forget())
 
 
 def best_pattern(sizes: np.ndarray, values: np.ndarray, capacity: int) -> tuple[float, np.ndarray]:

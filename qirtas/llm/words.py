@@ -17,7 +17,7 @@ from functools import lru_cache
 
 from tokenizers import Tokenizer
 
-# Distinct words that a Python worker remembers (about 200 MB); then it starts anew.
+# Distinct words that a task remembers (about 200 MB); then it starts anew.
 MEMO_WORDS = 1_000_000
 
 
@@ -139,10 +139,14 @@ class WordIds:
         get = self.memo.__getitem__
         return [b"".join(map(get, words)) for words in split]
 
+    def forget(self) -> None:
+        """At the end of a task: its worker may go on with other stages, which need the memory."""
+        self.memo = {}
+
 
 @lru_cache(maxsize=2)
 def word_ids(path: str) -> WordIds:
-    """One per Python worker and vocabulary, so that tasks share what it remembers.
+    """One per Python worker and vocabulary, so that the batches of a task share what it remembers.
 
     Words make no reference cycles, so the worker's collector may look seldom.
     """
