@@ -269,7 +269,8 @@ def verified(pairs: DataFrame, df: DataFrame, text: str, threshold: int) -> Data
 def tile_rows(groups: DataFrame, profiles: DataFrame, tile: int) -> DataFrame:
     """Members (pivot, cid, label, home: is it the pivot's label) dealt to tiles.
 
-    A tile pairs a block of members that are apart from the pivot with a block of
+    They get the columns of ``profiles`` (one row per cid) before they are dealt, so
+    that no join sees a member more than once per pivot.  A tile pairs a block of members that are apart from the pivot with a block of
     any: pairs inside the pivot's label need no comparing.  A tile that pairs a
     block with itself has its members once.
     """
@@ -282,6 +283,7 @@ def tile_rows(groups: DataFrame, profiles: DataFrame, tile: int) -> DataFrame:
         .withColumn("n_home", F.ceil(F.col("homes") / tile))
         .withColumn("n_other", F.ceil(F.col("others") / tile))
         .withColumn("block", F.expr("pmod(xxhash64(cid), if(home, n_home, n_other))"))
+        .join(profiles.hint("shuffle_merge"), "cid")
     )
     # Tiles (i, j): block i of the others with block j, 0 to n_other - 1 of the others (j >= i), then the homes.
     homes = F.expr("transform(sequence(0, n_other - 1), i -> struct(i as i, n_other + block as j, false as first))")
@@ -291,9 +293,8 @@ def tile_rows(groups: DataFrame, profiles: DataFrame, tile: int) -> DataFrame:
         " if(n_home = 0, array(), transform(sequence(n_other, n_other + n_home - 1), j -> struct(block as i, j as j, true as first))))"
     )
     rows = dealt.withColumn("at", F.explode(F.when(F.col("home"), homes).otherwise(others)))
-    return rows.select("pivot", "cid", "label", F.col("at.i").alias("i"), F.col("at.j").alias("j"), F.col("at.first").alias("first")).join(
-        profiles.select("cid", *FACTS).hint("shuffle_merge"), "cid"
-    )
+    beside = [c for c in profiles.columns if c != "cid"]
+    return rows.select("pivot", "cid", "label", *[F.col(f"at.{c}").alias(c) for c in ("i", "j", "first")], *beside)
 
 
 def tile_pairs(rows: DataFrame, threshold: int) -> DataFrame:
@@ -424,7 +425,7 @@ def connected(
         .select("pivot", "cid", F.coalesce("root_c", "cid").alias("label"), F.coalesce("root_p", "pivot").alias("_home"))
         .withColumn("home", F.col("label") == F.col("_home"))
     )
-    apart = tile_pairs(tile_rows(materialize(labelled.drop("_home"), "labelled"), profiles, tile), threshold).distinct()
+    apart = tile_pairs(tile_rows(materialize(labelled.drop("_home"), "labelled"), profiles.select("cid", *FACTS), tile), threshold).distinct()
     far = verified(materialize(apart, "apart"), df, text, threshold)
     return docs.select(key, "digest", "n", "cid"), near.unionByName(far)
 
@@ -492,18 +493,32 @@ def not_yet_met(a: Tile, b: Tile, same: bool, threshold: int) -> np.ndarray:
 
 
 def candidates_of(a: Tile, b: Tile, same: bool, threshold: int) -> np.ndarray:
-    """Pairs that pass the overlap bound and share a token in the prefixes by hash."""
+    """Pairs that pass the overlap bound and share a token in their prefixes by hash and by second hash."""
     fits = not_yet_met(a, b, same, threshold)
     if fits.any():
         in_range = lambda t: [x[: np.searchsorted(x, _LIMIT.astype(np.int64))] for x in t["tokens"]]
         most = overlaps(in_range(a), in_range(b)) + np.minimum.outer(a["n"] - a["low"], b["n"] - b["low"])
         fits &= (100 + threshold) * most >= threshold * np.add.outer(a["n"], b["n"])
-    if fits.any():
-        prefix = lambda t: [x[: np.searchsorted(x, e, "right")] for x, e in zip(t["tokens"], t["edge2"], strict=True)]
-        fits &= overlaps(prefix(a), prefix(b)) > 0
+    for prefix in (hash_prefix, second_prefix):
+        if fits.any():
+            fits &= overlaps(prefix(a), prefix(b)) > 0
     return fits
 
 
+def hash_prefix(t: Tile) -> list[np.ndarray]:
+    return [x[: np.searchsorted(x, e, "right")] for x, e in zip(t["tokens"], t["edge2"], strict=True)]
+
+
+def second_prefix(t: Tile) -> list[np.ndarray]:
+    """The counted range by second hash, behind it by hash."""
+    limit, found = _LIMIT.astype(np.int64), []
+    for x, e2, e3 in zip(t["tokens"], t["edge2"], t["edge3"], strict=True):
+        ranged = x < limit
+        second = second_order(x.view(np.uint64)).view(np.int64)
+        found.append(x[np.where(ranged, second <= e3, x <= e2)])
+    return found
+
+
 def links_of(a: Tile, b: Tile, same: bool, threshold: int) -> np.ndarray:
     """Pairs whose whole sets reach the threshold."""
     fits = not_yet_met(a, b, same, threshold)
@@ -621,16 +636,17 @@ def linked(
     pivots = groups.groupBy("cid").agg(F.collect_list("pivot").alias("pivots"))
     pivots = materialize(pivots, "pivots")
 
-    def below(rows: DataFrame) -> DataFrame:
-        smaller = F.sort_array(F.filter("pivots", lambda p: p < F.col("pivot")))
-        return rows.join(pivots.hint("shuffle_merge"), "cid").withColumn("below", smaller)
+    below = F.sort_array(F.filter("pivots", lambda p: p < F.col("pivot")))
 
     all_apart = groups.withColumn("label", F.col("cid")).withColumn("home", F.lit(False))
-    rows = below(tile_rows(all_apart, profiles, tile)).withColumnRenamed("shared", "tokens")
-    near = by_tile(rows, ["n", "low", "edge2"], candidates_of, survivors, ["pivot", "i", "j", "first", "cid"], threshold)
+    facts = profiles.select("cid", *FACTS).join(pivots.hint("shuffle_merge"), "cid")
+    rows = tile_rows(all_apart, facts, tile).withColumn("below", below).withColumnRenamed("shared", "tokens")
+    near = by_tile(rows, ["n", "low", "edge2", "edge3"], candidates_of, survivors, ["pivot", "i", "j", "first", "cid"], threshold)
     near = materialize(near, "near")
     sets = whole_sets(near.select("cid"), df, text).withColumn("n", F.expr("octet_length(tokens) div 8"))
-    rows = below(near).join(sets.hint("shuffle_merge"), "cid")
+    # Survivors once per tile: their sets and pivots come in one join.
+    beside = sets.join(pivots.hint("shuffle_merge"), "cid")
+    rows = near.join(beside.hint("shuffle_merge"), "cid").withColumn("below", below)
     return docs.select(key, "n", "cid"), materialize(by_tile(rows, ["n"], links_of, report, names, threshold), "linked")
 
 

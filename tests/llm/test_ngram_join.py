@@ -140,3 +140,26 @@ def test_one_of_each_keeps_null_and_repeated_ids(spark):
     once = [g for g in got if "m n" not in g]
     assert once == sorted(map(str, [(2, near + " end"), (None, other), (None, "q r s"), (None, "t u v"), (None, None), (None, ""), (9, None), (5, "one two three"), (5, "four five six")]))
     assert len(got) == len(once) + 1 and kept.columns == df.columns
+
+
+def test_each_order_rejects_pairs_that_the_others_let_through():
+    """Sets around 80 common tokens: no pair that links fails, and each prefix filter has its own say."""
+    rng = np.random.default_rng(12)
+    base = rng.integers(0, 1 << 63, 80, np.uint64)
+    sets = []
+    for k in range(150):
+        common, alone = (rng.integers(72, 81), rng.integers(0, 5)) if k % 3 == 0 else (rng.integers(8, 80), rng.integers(2, 60))
+        own = np.concatenate([rng.permutation(base)[:common], rng.integers(0, 1 << 63, alone, np.uint64)])
+        sets.append(np.unique(own))
+    facts = [nj.describe(x, 75) for x in sets]
+    tile = {n: np.array([f[k] for f in facts], np.int64) for k, n in ((0, "n"), (3, "low"), (4, "edge2"), (5, "edge3"))}
+    tile |= {"tokens": [x.view(np.int64) for x in sets], "below": [np.zeros(0, np.int64)] * len(sets)}
+    both = nj.overlaps(tile["tokens"], tile["tokens"])
+    links = 100 * both >= 75 * (np.add.outer(tile["n"], tile["n"]) - both)
+    np.fill_diagonal(links, False)
+    kept = nj.candidates_of(tile, tile, True, 75)
+    assert links.any() and not (links & ~kept).any()
+    by = [nj.overlaps(p(tile), p(tile)) > 0 for p in (nj.hash_prefix, nj.second_prefix)]
+    fits = nj.not_yet_met(tile, tile, True, 75)
+    assert (fits & by[0] & ~by[1]).any() and (fits & by[1] & ~by[0]).any()
+    assert not (links & ~(by[0] & by[1])).any()
