@@ -21,7 +21,7 @@ _SETTING = "spark.checkpoint.dir"
 
 def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get(_SETTING, None) or spark.sparkContext.getCheckpointDir()
-    if folder and folder.startswith("file:") and not spark.sparkContext.master.startswith("local"):
+    if folder and not spark.sparkContext.master.startswith("local") and is_local(spark, folder):
         raise RuntimeError(f"{folder} is a local folder; {_SETTING} must be one that every executor can reach")
     if folder:
         return folder.rstrip("/")
@@ -32,6 +32,13 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def is_local(spark: SparkSession, folder: str) -> bool:
+    """Does the folder lie on a machine's own disk?  One without a scheme is of the default file system."""
+    if ":/" not in folder:
+        folder = spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS", "file:///")
+    return folder.startswith("file:")
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A new path under the folder of this application.
 

@@ -4,6 +4,7 @@ import json
 import math
 import random
 from collections import Counter
+from types import SimpleNamespace
 
 import pytest
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
@@ -276,8 +277,22 @@ def test_no_temporary_folder_on_a_cluster():
         storage.shared_folder(Session())
 
 
+@pytest.mark.parametrize("folder, default, refused", [("/tmp/x", "file:///", True), ("file:/tmp/x", "hdfs://n/", True), ("/x", "hdfs://n/", False), ("s3a://b/x", "file:///", False)])
+def test_folders_of_one_machine_are_refused_on_a_cluster(folder, default, refused):
+    hadoop = SimpleNamespace(get=lambda name, other: default)
+    context = SimpleNamespace(master="yarn", _jsc=SimpleNamespace(hadoopConfiguration=lambda: hadoop))
+    session = SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda name, other: folder))
+    if refused:
+        with pytest.raises(RuntimeError):
+            storage.shared_folder(session)
+    else:
+        assert storage.shared_folder(session) == folder
+
+
 def test_configured_folder_wins():
     class Session:
+        sparkContext = SimpleNamespace(master="yarn")
+
         class conf:
             @staticmethod
             def get(name, default):
