@@ -5,8 +5,10 @@ of a host has a beta prior around the estimate of its registered domain, that on
 around its suffix, and that one around the corpus; the strength of each prior
 comes from how much siblings differ (the intraclass correlation of a
 beta-binomial model).  A host is blocked when the upper posterior bound of its
-share lies under a minimum: one without evidence has the wide posterior of its
-domain and passes.
+share lies under a minimum.  For that bound a prior counts as few outcomes at most,
+however strongly it draws the estimate: where siblings hardly differ, what is
+uncertain is the parents' estimate itself.  So a host without evidence passes unless
+its parents are far below the minimum.
 """
 
 from __future__ import annotations
@@ -28,6 +30,9 @@ RULES = (
     ("org/fr/", "allow"),
 )
 SECOND_LEVEL = r"(?:ac|co|com|edu|gov|net|org)\.(?:ar|au|br|cn|hk|id|il|in|jp|kr|mx|nz|sg|th|tr|tw|uk|za)"
+# Numeric addresses are their own domain and suffix.
+ADDRESS = r"^(?:[0-9]+(?:\.[0-9]+){3}|\[.*\])$"
+USER, PORT = r"^.*@", r":[0-9]*$"
 DOMAIN = rf"(?:^|\.)((?:[^.]+\.)?(?:{SECOND_LEVEL}|[^.]+))$"
 SUFFIX = rf"(?:^|\.)({SECOND_LEVEL}|[^.]+)$"
 
@@ -35,6 +40,7 @@ MAX_RULES = 1_000
 MIN_GOOD = 0.8
 Z = 1.6448536269514722
 WEAKEST, STRONGEST = 1.0, 1_000.0
+CERTAIN = 20.0  # outcomes that a prior is worth at most in the bound
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -104,15 +110,26 @@ def shrunk(children: DataFrame, parents: DataFrame, parent: str) -> DataFrame:
         .crossJoin(F.broadcast(strength))
         .withColumn("weight", F.col("n") + F.col("strength"))
         .withColumn("mean", (F.col("good") + prior) / F.col("weight"))
+        .withColumn("certain", F.col("n") + F.least("strength", F.lit(CERTAIN)))
         .drop("strength")
     )
 
 
+def domain_of(host: str) -> Column:
+    """The registered domain of a host, without user part and port; an address as it is."""
+    name = F.regexp_replace(F.regexp_replace(host, USER, ""), PORT, "")
+    return F.when(name.rlike(ADDRESS), name).otherwise(F.regexp_extract(name, DOMAIN, 1))
+
+
+def suffix_of(domain: str) -> Column:
+    return F.when(F.col(domain).rlike(ADDRESS), F.col(domain)).otherwise(F.regexp_extract(domain, SUFFIX, 1))
+
+
 def host_reputation(hosts: DataFrame) -> DataFrame:
-    """``hosts`` (host, good, n, pages) with mean and weight of each host's posterior."""
-    hosts = hosts.withColumn("domain", F.regexp_extract("host", DOMAIN, 1))
+    """``hosts`` (host, good, n, pages) with mean, weight and weight for the bound of each host's posterior."""
+    hosts = hosts.withColumn("domain", domain_of("host"))
     total = lambda df, by: df.groupBy(*by).agg(F.sum("good").alias("good"), F.sum("n").alias("n"))
-    domains = total(hosts, ["domain"]).withColumn("suffix", F.regexp_extract("domain", SUFFIX, 1))
+    domains = total(hosts, ["domain"]).withColumn("suffix", suffix_of("domain"))
     suffixes = total(domains, ["suffix"]).withColumn("root", F.lit(0))
     root = suffixes.groupBy("root").agg(
         ((F.sum("good") + 1) / (F.sum("n") + 2)).alias("mean")
@@ -152,7 +169,7 @@ def judge(
         F.sum(F.coalesce("n", F.lit(0.0))).alias("n"),
         F.count("*").alias("pages"),
     )
-    spread = F.sqrt(F.col("mean") * (1 - F.col("mean")) / (F.col("weight") + 1))
+    spread = F.sqrt(F.col("mean") * (1 - F.col("mean")) / (F.col("certain") + 1))
     blocked = F.col("mean") + z * spread < min_good
     verdicts = host_reputation(materialize(hosts, "hosts")).select(
         "host", "pages", F.when(blocked, "block").otherwise("allow").alias("reputation")
@@ -191,7 +208,7 @@ def _level(child: str, parent: str, above: str) -> str:
 {child}_strength AS (SELECT CASE WHEN k > p AND n > k THEN coalesce(CASE WHEN rho > {1 / (STRONGEST + 1)!r}
     THEN greatest(1 / rho - 1, {WEAKEST}) END, {STRONGEST}) ELSE {WEAKEST} END AS strength
     FROM {child}_rho CROSS JOIN (SELECT k, p, n FROM {child}_sums)),
-{child}_posterior AS (SELECT c.*, c.n + strength AS weight,
+{child}_posterior AS (SELECT c.*, c.n + least(strength, {CERTAIN}) AS certain,
     (c.good + mean * strength) / (c.n + strength) AS mean
     FROM {child}s c JOIN {above} USING ({parent}) CROSS JOIN {child}_strength)"""
 
@@ -200,10 +217,11 @@ SQL = rf"""
 WITH addressed AS (
     SELECT page_id, coalesce(translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), '{UPPER}', '{LOWER}'), '') AS host,
         coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
-hosts AS (SELECT host, regexp_extract(host, '{DOMAIN}', 1) AS domain,
+named AS (SELECT *, regexp_replace(regexp_replace(host, '{USER}', ''), '{PORT}', '') AS name FROM addressed),
+hosts AS (SELECT host, any_value(CASE WHEN regexp_matches(name, '{ADDRESS}') THEN name ELSE regexp_extract(name, '{DOMAIN}', 1) END) AS domain,
     coalesce(sum(quality), 0)::DOUBLE AS good, count(quality)::DOUBLE AS n
-    FROM addressed LEFT JOIN labels ON doc_id = page_id GROUP BY host),
-domains AS (SELECT domain, regexp_extract(domain, '{SUFFIX}', 1) AS suffix, sum(good) AS good, sum(n) AS n
+    FROM named LEFT JOIN labels ON doc_id = page_id GROUP BY host),
+domains AS (SELECT domain, CASE WHEN regexp_matches(domain, '{ADDRESS}') THEN domain ELSE regexp_extract(domain, '{SUFFIX}', 1) END AS suffix, sum(good) AS good, sum(n) AS n
     FROM hosts GROUP BY domain),
 suffixs AS (SELECT suffix, 0 AS root, sum(good) AS good, sum(n) AS n FROM domains GROUP BY suffix),
 top AS (SELECT root, (sum(good) + 1) / (sum(n) + 2) AS mean FROM suffixs GROUP BY root),
@@ -219,7 +237,7 @@ ruled AS (SELECT page_id, host, path, CASE
 SELECT page_id, host, path, rule, CASE rule
     WHEN 'net/' THEN 'block' WHEN 'example.net/en/' THEN 'allow'
     WHEN 'example.com/de/' THEN 'block' WHEN 'org/fr/' THEN 'allow'
-    ELSE CASE WHEN mean + {Z!r} * sqrt(mean * (1 - mean) / (weight + 1)) < {MIN_GOOD} THEN 'block' ELSE 'allow' END
+    ELSE CASE WHEN mean + {Z!r} * sqrt(mean * (1 - mean) / (certain + 1)) < {MIN_GOOD} THEN 'block' ELSE 'allow' END
     END AS verdict
 FROM ruled JOIN host_posterior USING (host)
 """

@@ -59,6 +59,26 @@ def test_registered_domains(spark):
     assert [tuple(r) for r in got][:6] == [("example.com", "com"), ("example.com", "com"), ("com", "com"), ("b.co.uk", "co.uk"), ("co.uk", "co.uk"), ("xco.uk", "uk")]
 
 
+def test_ports_users_and_addresses(spark):
+    hosts = ["me@a.example.com:8080", "example.com:", "10.1.2.3", "10.1.2.3:80", "[::1]:443", "[::1]", "u:p@x.co.uk"]
+    df = spark.createDataFrame([(h,) for h in hosts], "host string").withColumn("domain", ur.domain_of("host"))
+    got = [tuple(r) for r in df.select("domain", ur.suffix_of("domain")).collect()]
+    address = lambda a: (a, a)
+    assert got == [("example.com", "com"), ("example.com", "com"), address("10.1.2.3"), address("10.1.2.3"), address("[::1]"), address("[::1]"), ("x.co.uk", "co.uk")]
+
+
+def test_hosts_alike_with_a_share_of_three_quarters(spark):
+    """Nothing tells the hosts apart: none is blocked for lack of evidence, one with a lot of it is."""
+    urls, outcomes = [], []
+    for host, n in [(f"h{k}.d{k % 7}.com", 20) for k in range(60)] + [("new.d1.com", 0), ("new.other.org", 0), ("large.d2.com", 2000)]:
+        for k in range(max(n, 1)):
+            urls.append((len(urls), f"http://{host}/{k}"))
+            if n:
+                outcomes.append((urls[-1][0], int(k % 4 != 0)))
+    verdicts = {r[1]: r[4] for r in judged(spark, urls, outcomes)}
+    assert {h for h, v in verdicts.items() if v == "block"} == {"large.d2.com"}
+
+
 def test_prior_strength_recovers_the_spread(spark):
     import numpy as np
 
