@@ -216,7 +216,7 @@ def encode(
     returned = (
         occurrences.join(table.select("word", "ids").hint("shuffle_merge"), "word", "left")
         .groupBy(F.col("_key").alias("_rare_key"), F.col("_text").alias("_rare_text"))
-        .agg(F.collect_list(F.struct("at", "ids", unknown)).alias("rare"))
+        .agg(F.collect_set(F.struct("at", "ids", unknown)).alias("rare"))  # a set: repeated rows say the same
     )
     coded = common.map_rows(
         rows, ranks, f"{declared}, _text long, coded binary, beside binary",
