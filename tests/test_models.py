@@ -63,7 +63,7 @@ def test_refit_gives_the_same_model(chain, fitted):
     assert again.coefficients.toArray() == pytest.approx(first, abs=1e-6)
 
 
-def test_hyperparameters():
+def test_hyperparameters(spark):
     lr, rf = md.logistic_regression(), md.random_forest()
     assert (lr.getMaxIter(), lr.getRegParam()) == (100, 0.01)
     assert (rf.getNumTrees(), rf.getSeed(), rf.getMaxDepth()) == (100, 42, 5)
