@@ -57,24 +57,16 @@ def word_lists(data: bytes, size: int = PIECE_BYTES) -> Iterator[list[bytes]]:
 
 
 def map_rows(
-    df: DataFrame,
-    work: Callable[[list[list]], list[list]],
-    schema: str,
-    arrow: pa.Schema,
-    done: Callable[[], None] | None = None,
+    df: DataFrame, work: Callable[[list[list]], list[list]], schema: str, arrow: pa.Schema
 ) -> DataFrame:
-    """``work`` turns the columns of a slice of rows into the columns of the result; ``done`` ends a task."""
+    """``work`` turns the columns of a slice of rows into the columns of the result."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        try:
-            for columns in slices(batches):
-                out = work(columns)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, f.type) for c, f in zip(out, arrow, strict=True)], schema=arrow
-                )
-        finally:
-            if done:
-                done()
+        for columns in slices(batches):
+            out = work(columns)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, f.type) for c, f in zip(out, arrow, strict=True)], schema=arrow
+            )
 
     return df.mapInArrow(run, schema)
 

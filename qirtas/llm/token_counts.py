@@ -109,7 +109,6 @@ def count_tokens(
         work,
         f"{column}, n_bytes long, n_tokens long, over_limit boolean",
         pa.schema([field, ("n_bytes", pa.int64()), ("n_tokens", pa.int64()), ("over_limit", pa.bool_())]),
-        None if path.endswith(".model") else lambda: word_ids(path).forget(),
     )
 
 
