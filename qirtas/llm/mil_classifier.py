@@ -223,7 +223,7 @@ def fit(
                 ["id", "y", "digest", "n", "bag"],
             )
 
-    bags = rows.mapInArrow(run, "id long, y double, digest long, n long, bag binary")
+    bags = common.map_batches(rows, run, "id long, y double, digest long, n long, bag binary")
     best = F.min(F.struct("digest", "n", "y", "bag")).alias("best")
     bags = materialize(bags.groupBy("id").agg(best).select("id", "best.y", "best.n", "best.bag"), "fit-bags")
     left, whole = sample_docs * fit_passages, []
@@ -251,7 +251,7 @@ def score(df: DataFrame, model: Model, text: str = "text", keep: list[str] | Non
                 yield pa.RecordBatch.from_arrays([part.column(1), pa.array(scores, pa.float64())], ["_row", "_score"])
 
     schema = T.StructType([T.StructField("_row", rows.schema["_row"].dataType), T.StructField("_score", T.DoubleType())])
-    return rows.mapInArrow(run, schema).select(*common.fields_of("_row", keep), F.col("_score").alias(into))
+    return common.map_batches(rows, run, schema).select(*common.fields_of("_row", keep), F.col("_score").alias(into))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, min_score: float = 0.5) -> DataFrame:

@@ -139,7 +139,7 @@ def token_rows(df: DataFrame, text: str, threshold: int) -> DataFrame:
                 found.append(tokens[: emitted(tokens, threshold)])
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64))], ["token"])
 
-    return df.select(text).mapInArrow(run, "token long")
+    return common.map_batches(df.select(text), run, "token long")
 
 
 DOC = [("n", "int"), ("cid", "bigint"), ("seen", "int"), ("low", "int"), ("edge2", "bigint"), ("edge3", "bigint")]
@@ -356,7 +356,7 @@ def tile_pairs(rows: DataFrame, threshold: int) -> DataFrame:
 
     columns = ["pivot", "cid", "label", "i", "j", "first", *FACTS]
     ordered = rows.select(*columns).repartition("pivot", "i", "j").sortWithinPartitions("pivot", "i", "j")
-    return ordered.mapInArrow(run, "a long, b long")
+    return common.map_batches(ordered, run, "a long, b long")
 
 
 def buckets(df: DataFrame, key: str, text: str, threshold: int) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -620,7 +620,7 @@ def by_tile(rows: DataFrame, columns: list[str], judge, report, names: list[str]
 
     ordered = rows.select(*[F.col(c).cast("long") for c in head], "below", "tokens")
     ordered = ordered.repartition("pivot", "i", "j").sortWithinPartitions("pivot", "i", "j")
-    return ordered.mapInArrow(run, ", ".join(f"{n} long" for n in names))
+    return common.map_batches(ordered, run, ", ".join(f"{n} long" for n in names))
 
 
 def linked(

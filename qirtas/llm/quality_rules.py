@@ -171,7 +171,7 @@ def judge(df: DataFrame, text: str = "text", keep: list[str] | None = None, into
                 yield pa.RecordBatch.from_arrays([part.column(1), judged], ["_row", "judged"])
 
     schema = T.StructType([T.StructField("_row", rows.schema["_row"].dataType), T.StructField("judged", _JUDGED)])
-    out = rows.mapInArrow(run, schema)
+    out = common.map_batches(rows, run, schema)
     return out.select(*common.fields_of("_row", keep), F.col("judged").alias(into))
 
 

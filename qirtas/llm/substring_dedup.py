@@ -120,7 +120,7 @@ def chunk_rows(df: DataFrame, key: str, text: str) -> DataFrame:
                     schema=schema,
                 )
 
-    return rows.mapInArrow(run, f"digest long, {declared}, whole long, number int")
+    return common.map_batches(rows, run, f"digest long, {declared}, whole long, number int")
 
 
 def dedup(
@@ -192,7 +192,7 @@ def dedup(
     kinds = [T.LongType()] * 5 + [T.ArrayType(span), T.StringType()]
     cut_type = T.StructType([T.StructField(n, k) for n, k in zip(names, kinds, strict=True)])
     schema = T.StructType([T.StructField("_row", met.schema["_row"].dataType), T.StructField("dedup", cut_type)])
-    out = met.mapInArrow(run, schema)
+    out = common.map_batches(met, run, schema)
     kept = [F.col("dedup.text").alias(c) if c == text else F.col(f"_row.{common.quoted(c)}").alias(c) for c in df.columns]
     return out.select(*kept, F.col("dedup").alias(into))
 

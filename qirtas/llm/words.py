@@ -17,8 +17,8 @@ from functools import lru_cache
 
 from tokenizers import Tokenizer
 
-# Distinct words that a Python worker remembers (about 200 MB); then it starts anew.
-MEMO_WORDS = 1_000_000
+# A Python worker remembers the latest words, at most twice so many (about 120 MB).
+MEMO_WORDS = 300_000
 
 
 @lru_cache(maxsize=2)
@@ -120,7 +120,12 @@ def encode_words(path: str, words: list[bytes], memo: dict[bytes, bytes] | None
 
 
 class WordIds:
-    """Encodes texts; remembers a bounded number of words."""
+    """Encodes texts; remembers a bounded number of words.
+
+    When ``memo_words`` have come together they are set aside for those before
+    them; a word that is met again while it lies there comes back, so frequent
+    words are never encoded anew.
+    """
 
     def __init__(self, path: str, memo_words: int = MEMO_WORDS):
         if not drops_white_space(path):
@@ -128,13 +133,17 @@ class WordIds:
         self.path, self.limit = path, memo_words
         self.marks = special_marks(path)
         self.memo: dict[bytes, bytes] = {}
+        self.aside: dict[bytes, bytes] = {}
 
     def blobs(self, texts: list[str | None]) -> list[bytes]:
         """For each text its ids as little-endian unsigned 32-bit integers."""
         split = [split_words(t, self.marks) for t in texts]
         if len(self.memo) > self.limit:
-            self.memo.clear()
-        new = list(set().union(*split).difference(self.memo))
+            self.aside, self.memo = self.memo, {}
+        unmet = set().union(*split).difference(self.memo)
+        back = {w: self.aside[w] for w in unmet if w in self.aside}
+        self.memo.update(back)
+        new = list(unmet.difference(back))
         self.memo.update(zip(new, encode_words(self.path, new, self.memo), strict=True))
         get = self.memo.__getitem__
         return [b"".join(map(get, words)) for words in split]
