@@ -14,6 +14,7 @@
 from __future__ import annotations
 
 import hashlib
+import struct
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -71,16 +72,16 @@ def count_words(df: DataFrame, path: str, text: str) -> DataFrame:
                 yield flush()
         yield flush()
 
-    partial = df.select(text).mapInArrow(run, "word string, n long")
+    partial = common.map_batches(df.select(text), run, "word string, n long")
     return partial.groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def word_table(df: DataFrame, path: str, text: str = "text", least: int = 1) -> DataFrame:
-    """Written table: each distinct word met ``least`` times, its occurrences, its ids (4 bytes each)."""
+    """Written table: each distinct word met ``least`` times, its occurrences, its ids as packed numbers."""
 
     def work(columns: list[list]) -> list[list]:
         words, n = columns
-        return [words, n, encode_words(path, [w.encode() for w in words])]
+        return [words, n, [pack_ids(blob) for blob in encode_words(path, [w.encode() for w in words])]]
 
     schema = pa.schema([("word", pa.string()), ("n", pa.int64()), ("ids", pa.binary())])
     counted = count_words(df, path, text).filter(F.col("n") >= least)
@@ -102,7 +103,7 @@ def frequent(table: DataFrame, limit: int) -> list[tuple[str, bytes]]:
             break
         cut = n
     rows = short.filter(often >= cut).select("n", "word", "ids").toArrow().sort_by([("n", "descending"), ("word", "ascending")])
-    return list(zip(rows["word"].to_pylist(), rows["ids"].to_pylist(), strict=True))
+    return list(zip(rows["word"].to_pylist(), map(unpack_ids, rows["ids"].to_pylist()), strict=True))
 
 
 def pack_numbers(values: np.ndarray) -> bytes:
@@ -126,6 +127,28 @@ def unpack_numbers(blob: bytes) -> np.ndarray:
     return np.add.reduceat((raw & 127).astype(np.int64) << 7 * place, begins)
 
 
+def pack_ids(blob: bytes) -> bytes:
+    """What ``pack_numbers`` says, for the few ids of a word."""
+    out = bytearray()
+    for value in memoryview(blob).cast("I"):
+        while value > 127:
+            out.append(value & 127 | 128)
+            value >>= 7
+        out.append(value)
+    return bytes(out)
+
+
+def unpack_ids(packed: bytes) -> bytes:
+    ids, value, shift = [], 0, 0
+    for byte in packed:
+        value |= (byte & 127) << shift
+        shift += 7
+        if byte < 128:
+            ids.append(value)
+            value = shift = 0
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 def pack_blobs(blobs: list[bytes]) -> bytes:
     """The ids of each word behind their number, as packed numbers."""
     numbers: list[int] = []
@@ -211,30 +234,31 @@ def encode(
         rows, rare, f"{declared}, _text long, at int, word string",
         pa.schema([field, ("_text", pa.int64()), ("at", pa.int32()), ("word", pa.string())]),
     )
-    # A word met once may fall on a marked bit: it comes back as it went and is encoded then.
-    unknown = F.when(F.col("ids").isNull(), F.col("word")).alias("word")
+    # What comes back is twice the place in four bytes, then the packed ids.  A word met once may fall on a
+    # marked bit: it comes back as it went, the place's last bit set, and is encoded then.
+    head = F.col("at").cast("long") * 2 + F.col("ids").isNull().cast("long")
+    met_at = F.concat(F.unhex(F.lpad(F.hex(head), 8, "0")), F.coalesce("ids", F.encode("word", "UTF-8")))
     returned = (
         occurrences.join(table.select("word", "ids").hint("shuffle_merge"), "word", "left")
         .groupBy(F.col("_key").alias("_rare_key"), F.col("_text").alias("_rare_text"))
-        .agg(F.collect_set(F.struct("at", "ids", unknown)).alias("rare"))  # a set: repeated rows say the same
+        .agg(F.collect_set(met_at).alias("rare"))  # a set: repeated rows say the same
     )
     coded = common.map_rows(
         rows, ranks, f"{declared}, _text long, coded binary, beside binary",
         pa.schema([field, ("_text", pa.int64()), ("coded", pa.binary()), ("beside", pa.binary())]),
     )
     same = F.col("_key").eqNullSafe(F.col("_rare_key")) & (F.col("_text") == F.col("_rare_text"))
-    met = coded.join(returned.hint("shuffle_merge"), same, "left").select(
-        "_key", "coded", "beside", F.col("rare.at").alias("at"), F.col("rare.ids").alias("ids"), F.col("rare.word").alias("word")
-    )
+    met = coded.join(returned.hint("shuffle_merge"), same, "left").select("_key", "coded", "beside", "rare")
 
     def fill(columns: list[list]) -> list[list]:
         of = blobs.value
         out = []
-        for code, beside, at, ids, word in zip(*columns[1:], strict=True):
+        for code, beside, rare_words in zip(*columns[1:], strict=True):
             own = iter(unpack_blobs(beside))
             parts = [of[n - FIRST_RANK] if n >= FIRST_RANK else next(own) if n == BESIDE else b"" for n in unpack_numbers(zlib.decompress(code)).tolist()]
-            for place, blob, unmet in zip(at or (), ids or (), word or (), strict=True):
-                parts[place] = blob if unmet is None else encode_words(path, [unmet.encode()])[0]
+            for found in rare_words or ():
+                place, unmet = divmod(int.from_bytes(found[:4], "big"), 2)
+                parts[place] = encode_words(path, [found[4:]])[0] if unmet else unpack_ids(found[4:])
             out.append(b"".join(parts))
         return [columns[0], out]
 

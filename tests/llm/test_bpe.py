@@ -53,6 +53,8 @@ def test_blobs_round_trip():
     cases = [b"", np.array([1, 49407], "<u4").tobytes(), np.array([300], "<u4").tobytes(), b""]
     assert bpe.unpack_blobs(bpe.pack_blobs(cases)) == cases
     assert bpe.unpack_blobs(bpe.pack_blobs([])) == []
+    ids = np.array([0, 127, 128, 16383, 16384, 2097152, (1 << 32) - 1], "<u4").tobytes()
+    assert bpe.unpack_ids(bpe.pack_ids(ids)) == ids and bpe.unpack_ids(bpe.pack_ids(b"")) == b""
 
 
 def test_hashes_are_those_of_spark(spark):
