@@ -19,7 +19,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import public_tokenizers
@@ -42,6 +42,8 @@ COUNTED = 4_096
 WORD_BITS = 25
 # What stands for a word that is not broadcast: its ids come from the table, or stand beside.
 FROM_TABLE, BESIDE, FIRST_RANK = 0, 1, 2
+# About so many bytes of coded texts, a word has at least one, become ids at a time.
+FILL_BYTES = 1 << 20
 # A counting task hands on what it has when it has met so many distinct words.
 FLUSH_WORDS = 200_000
 
@@ -106,25 +108,38 @@ def frequent(table: DataFrame, limit: int) -> list[tuple[str, bytes]]:
     return list(zip(rows["word"].to_pylist(), map(unpack_ids, rows["ids"].to_pylist()), strict=True))
 
 
-def pack_numbers(values: np.ndarray) -> bytes:
-    """Seven bits a byte, the lowest first; the top bit says that more follow."""
+def pack_lists(values: np.ndarray, begin: np.ndarray | list[int]) -> list[bytes]:
+    """Each ``values[begin[k] : begin[k + 1]]``: seven bits a byte, the lowest first; the top bit says that more follow."""
     size = 1 + (values >= 1 << 7) + (values >= 1 << 14) + (values >= 1 << 21)
-    first = np.cumsum(size) - size
-    out = np.zeros(int(size.sum()), np.uint8)
+    ends = np.concatenate([[0], np.cumsum(size)])
+    out = np.zeros(int(ends[-1]), np.uint8)
     for k in range(4):
-        has = size > k
+        has = np.flatnonzero(size > k)
         more = (size[has] > k + 1) << 7
-        out[first[has] + k] = (values[has] >> 7 * k & 127) | more
-    return out.tobytes()
+        out[ends[has] + k] = (values[has] >> 7 * k & 127) | more
+    raw, cut = out.tobytes(), ends[begin].tolist()
+    return [raw[i:j] for i, j in zip(cut, cut[1:], strict=False)]
+
+
+def unpack_lists(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of all lists, and where each list begins (and the last one ends)."""
+    raw = np.frombuffer(b"".join(blobs), np.uint8)
+    last = np.flatnonzero(raw < 128)
+    first = np.zeros(len(last), np.int64)
+    first[1:] = last[:-1] + 1
+    values = (raw[first] & 127).astype(np.int64)
+    for k in range(1, 4):
+        has = np.flatnonzero(last - first >= k)
+        values[has] |= (raw[first[has] + k] & 127).astype(np.int64) << 7 * k
+    return values, np.searchsorted(last, np.cumsum([0, *map(len, blobs)]))
+
+
+def pack_numbers(values: np.ndarray) -> bytes:
+    return pack_lists(values, [0, len(values)])[0]
 
 
 def unpack_numbers(blob: bytes) -> np.ndarray:
-    raw = np.frombuffer(blob, np.uint8)
-    if not len(raw):
-        return np.zeros(0, np.int64)
-    begins = np.flatnonzero(np.concatenate([[True], raw[:-1] < 128]))
-    place = np.arange(len(raw)) - np.repeat(begins, np.diff([*begins, len(raw)]))
-    return np.add.reduceat((raw & 127).astype(np.int64) << 7 * place, begins)
+    return unpack_lists([blob])[0]
 
 
 def pack_ids(blob: bytes) -> bytes:
@@ -149,22 +164,65 @@ def unpack_ids(packed: bytes) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
 
 
+def pack_words(blobs: list[bytes], begin: list[int]) -> list[bytes]:
+    """For each ``blobs[begin[k] : begin[k + 1]]`` its words' number, their sizes and their ids, as packed numbers."""
+    sizes = np.fromiter(map(len, blobs), np.int64, len(blobs)) // 4
+    ids = np.frombuffer(b"".join(blobs), "<u4").astype(np.int64)
+    at = np.concatenate([[0], np.cumsum(sizes)])
+    lists = [np.concatenate([[j - i], sizes[i:j], ids[at[i] : at[j]]]) for i, j in zip(begin, begin[1:], strict=False)]
+    return pack_lists(np.concatenate([np.zeros(0, np.int64), *lists]), np.cumsum([0, *map(len, lists)]))
+
+
+def unpack_words(packed: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The sizes of all words in all lists, and their ids."""
+    numbers, begin = unpack_lists(packed)
+    none = np.zeros(0, np.int64)
+    sizes, ids = [none], [none]
+    for i, j in zip(begin.tolist(), begin[1:].tolist(), strict=False):
+        behind = i + 1 + int(numbers[i])
+        sizes.append(numbers[i + 1 : behind])
+        ids.append(numbers[behind:j])
+    return np.concatenate(sizes), np.concatenate(ids)
+
+
 def pack_blobs(blobs: list[bytes]) -> bytes:
-    """The ids of each word behind their number, as packed numbers."""
-    numbers: list[int] = []
-    for blob in blobs:
-        numbers.append(len(blob) // 4)
-        numbers += memoryview(blob).cast("I")
-    return pack_numbers(np.array(numbers, np.int64))
+    return pack_words(blobs, [0, len(blobs)])[0]
 
 
 def unpack_blobs(packed: bytes) -> list[bytes]:
-    numbers = unpack_numbers(packed)
-    raw, sizes, out, k = numbers.astype("<u4").tobytes(), numbers.tolist(), [], 0
-    while k < len(sizes):
-        out.append(raw[4 * k + 4 : 4 * (k + 1 + sizes[k])])
-        k += 1 + sizes[k]
-    return out
+    sizes, ids = unpack_words([packed])
+    raw, cut = ids.astype("<u4").tobytes(), np.cumsum([0, *sizes * 4]).tolist()
+    return [raw[i:j] for i, j in zip(cut, cut[1:], strict=False)]
+
+
+class Ids:
+    """The ids of words one behind another, and where those of each word begin and how many they are."""
+
+    def __init__(self, blobs: list[bytes]):
+        self.ids = np.frombuffer(b"".join(blobs), "<u4")
+        self.size = np.fromiter(map(len, blobs), np.int32, len(blobs)) // 4
+        self.begin = np.cumsum(self.size) - self.size
+
+
+def whole_ids(path: str, hot: Ids, coded: list[bytes], beside: list[bytes], rare: list[list[bytes] | None]) -> list[bytes]:
+    """The ids of each text; ``hot`` has those of a code, what stands for no word has none there."""
+    codes, begin = unpack_lists(coded)
+    own_sizes, own_ids = unpack_words(beside)
+    met = {}
+    for row, found in enumerate(rare):
+        for word in found or ():
+            place, unmet = divmod(int.from_bytes(word[:4], "big"), 2)
+            met[int(begin[row]) + place] = encode_words(path, [word[4:]])[0] if unmet else unpack_ids(word[4:])
+    rest = Ids(list(met.values()))
+    own, at = np.flatnonzero(codes == BESIDE), np.fromiter(met, np.int64, len(met))
+    size, source = hot.size[codes].astype(np.int64), hot.begin[codes].astype(np.int64)
+    size[own], source[own] = own_sizes, len(hot.ids) + np.cumsum(own_sizes) - own_sizes
+    size[at], source[at] = rest.size, len(hot.ids) + len(own_ids) + rest.begin
+    ends = np.concatenate([[0], np.cumsum(size)])
+    place = np.arange(ends[-1]) + np.repeat(source - ends[:-1], size)
+    raw = np.concatenate([hot.ids, own_ids.astype("<u4"), rest.ids])[place].tobytes()
+    cut = (4 * ends[begin]).tolist()
+    return [raw[i:j] for i, j in zip(cut, cut[1:], strict=False)]
 
 
 def word_hashes(words: list[bytes]) -> np.ndarray:
@@ -177,7 +235,7 @@ def classified(texts: list[str | None], marks: tuple[bytes, ...], rank: dict, ce
     split = [split_words(t, marks) for t in texts]
     words = list(chain.from_iterable(split))
     get = rank.get
-    codes = np.fromiter((get(w, FROM_TABLE) for w in words), np.int64, len(words))
+    codes = np.fromiter(map(get, words, repeat(FROM_TABLE)), np.int64, len(words))
     at = np.flatnonzero(codes == FROM_TABLE)
     codes[at[~marked(cells, word_hashes([words[k] for k in at.tolist()]))]] = BESIDE
     return words, codes, np.cumsum([0, *map(len, split)])
@@ -210,7 +268,7 @@ def encode(
     table = word_table(df, path, text, least=2)
     hot = frequent(table, hot_words)
     rank = spark.sparkContext.broadcast({w.encode(): k + FIRST_RANK for k, (w, _) in enumerate(hot)})
-    blobs = spark.sparkContext.broadcast([ids for _, ids in hot])
+    hot_ids = spark.sparkContext.broadcast(Ids([b""] * FIRST_RANK + [ids for _, ids in hot]))
     cells = spark.sparkContext.broadcast(bitmap(table.select(F.xxhash64("word").alias("hash")), "hash", WORD_BITS))
     rows = df.select(F.col(key).alias("_key"), text_key(text).alias("_text"), text)
     declared, field = common.key_field(rows, "_key")
@@ -227,8 +285,8 @@ def encode(
         at = np.flatnonzero(codes == BESIDE)
         found = encode_words(path, [words[k] for k in at.tolist()])
         cut = np.searchsorted(at, begin).tolist()
-        coded = [zlib.compress(pack_numbers(codes[i:j]), 1) for i, j in zip(begin, begin[1:], strict=False)]
-        return [columns[0], columns[1], coded, [pack_blobs(found[i:j]) for i, j in zip(cut, cut[1:], strict=False)]]
+        coded = [zlib.compress(packed, 1) for packed in pack_lists(codes, begin)]
+        return [columns[0], columns[1], coded, pack_words(found, cut)]
 
     occurrences = common.map_rows(
         rows, rare, f"{declared}, _text long, at int, word string",
@@ -251,15 +309,14 @@ def encode(
     met = coded.join(returned.hint("shuffle_merge"), same, "left").select("_key", "coded", "beside", "rare")
 
     def fill(columns: list[list]) -> list[list]:
-        of = blobs.value
-        out = []
-        for code, beside, rare_words in zip(*columns[1:], strict=True):
-            own = iter(unpack_blobs(beside))
-            parts = [of[n - FIRST_RANK] if n >= FIRST_RANK else next(own) if n == BESIDE else b"" for n in unpack_numbers(zlib.decompress(code)).tolist()]
-            for found in rare_words or ():
-                place, unmet = divmod(int.from_bytes(found[:4], "big"), 2)
-                parts[place] = encode_words(path, [found[4:]])[0] if unmet else unpack_ids(found[4:])
-            out.append(b"".join(parts))
+        out, coded, size = [], [], 0
+        for k, code in enumerate(columns[1], 1):
+            coded.append(zlib.decompress(code))
+            size += len(coded[-1])
+            if size > FILL_BYTES or k == len(columns[1]):
+                some = slice(len(out), k)
+                out += whole_ids(path, hot_ids.value, coded, columns[2][some], columns[3][some])
+                coded, size = [], 0
         return [columns[0], out]
 
     filled = common.map_rows(

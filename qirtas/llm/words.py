@@ -56,6 +56,8 @@ def split_words(text: str | None, marks: tuple[bytes, ...]) -> list[bytes]:
     """
     raw = (text or "").encode()
     if not any(m in raw for m in marks):
+        if raw.isascii():
+            return raw.lower().split()
         lower = bytearray(raw.lower())
         for m in COMPOSING.finditer(raw):
             lower[m.start()] = raw[m.start()]

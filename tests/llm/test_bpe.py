@@ -77,3 +77,33 @@ def test_capitals_that_compose(spark, hot):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r.doc_id: tuple(r)[1:] for r in bpe.digests(bpe.encode(df, PATH, hot_words=hot), PATH).collect()}
     assert got == {k: expected(t) for k, t in rows}
+
+
+def test_lists_are_packed_together():
+    values, begin = np.array([0, 128, 5, 2097152, 7], np.int64), [0, 2, 2, 5]
+    packed = bpe.pack_lists(values, begin)
+    assert packed == [bpe.pack_numbers(values[i:j]) for i, j in zip(begin, begin[1:], strict=False)]
+    back, at = bpe.unpack_lists(packed)
+    assert back.tolist() == values.tolist() and at.tolist() == begin
+    assert [x.tolist() for x in bpe.unpack_lists([b"", b""])] == [[], [0, 0, 0]]
+
+
+def test_ids_of_several_texts_at_once():
+    words = [b"often", b"seen", b"gr\xc3\xb6\xc3\x9fe"]
+    hot = bpe.Ids([b"", b"", *bpe.encode_words(PATH, words)])
+    cases = [("often seen", [2, 3]), ("", []), ("lone often xylo", [bpe.BESIDE, 2, bpe.FROM_TABLE]), ("größe zyx", [4, bpe.FROM_TABLE])]
+    coded = bpe.pack_lists(np.array([c for _, codes in cases for c in codes], np.int64), [0, 2, 2, 5, 7])
+    beside = bpe.pack_words(bpe.encode_words(PATH, [b"lone"]), [0, 0, 0, 1, 1])
+    unmet = lambda place, word: (2 * place + 1).to_bytes(4, "big") + word
+    found = (2).to_bytes(4, "big") + bpe.pack_ids(bpe.encode_words(PATH, [b"zyx"])[0])
+    got = bpe.whole_ids(PATH, hot, coded, beside, [None, None, [unmet(2, b"xylo")], [found]])
+    assert got == [np.asarray(tokenizer(PATH).encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t, _ in cases]
+
+
+def test_texts_are_filled_in_parts(spark, monkeypatch):
+    rows = [(k, t) for k, t in enumerate(texts(30, 60, 5))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    monkeypatch.setattr(bpe, "FILL_BYTES", 50)
+    encode = bpe.encode(df, PATH, hot_words=20)
+    got = {r.doc_id: tuple(r)[1:] for r in bpe.digests(encode, PATH).collect()}
+    assert got == {k: expected(t) for k, t in rows}
