@@ -297,68 +297,6 @@ def tile_rows(groups: DataFrame, profiles: DataFrame, tile: int) -> DataFrame:
     return rows.select("pivot", "cid", "label", *[F.col(f"at.{c}").alias(c) for c in ("i", "j", "first")], *beside)
 
 
-def tile_pairs(rows: DataFrame, threshold: int) -> DataFrame:
-    """Pairs of tiles that are apart, may link, and were not compared with their pivot."""
-
-    def compare(group: list[tuple]) -> list[tuple[int, int]]:
-        i, j = group[0][3], group[0][4]
-        left = [g for g in group if g[5]]
-        right = left if i == j else [g for g in group if not g[5]]
-        if not left or not right:
-            return []
-        sets = [np.array(g[10], np.int64) for g in right]
-        tokens, owner = np.concatenate(sets), np.repeat(np.arange(len(right)), [len(s) for s in sets])
-        order = np.argsort(tokens, kind="stable")
-        tokens, owner = tokens[order], owner[order]
-        in_range = tokens < _LIMIT.astype(np.int64)
-        second = second_order(tokens.view(np.uint64)).view(np.int64)
-        cids, labels, n, low, edge2, edge3 = (np.array([g[k] for g in right], np.int64) for k in (1, 2, 6, 7, 8, 9))
-        out = []
-        for g in left:
-            if g[1] == g[0]:
-                continue
-            fits = 100 * np.minimum(n, g[6]) >= threshold * np.maximum(n, g[6])
-            fits &= (labels != g[2]) & (cids != g[0]) & ((cids > g[1]) if i == j else (cids != g[1]))
-            if not fits.any():
-                continue
-            own = np.array(g[10], np.int64)
-            begin, end = np.searchsorted(tokens, own, "left"), np.searchsorted(tokens, own, "right")
-            counts = end - begin
-            at = np.repeat(begin - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
-            at = at[fits[owner[at]]]
-            who, ranged = owner[at], in_range[at]
-            by_hash = tokens[at] <= np.minimum(edge2[who], g[8])
-            by_second = np.where(ranged, second[at] <= np.minimum(edge3[who], g[9]), by_hash)
-            met = lambda mask, who=who: np.bincount(who[mask], minlength=len(right))
-            most = met(ranged) + np.minimum(n - low, g[6] - g[7])
-            fits &= (100 + threshold) * most >= threshold * (n + g[6])
-            fits &= (met(by_hash) > 0) & (met(by_second) > 0)
-            out += [(min(g[1], k), max(g[1], k)) for k in cids[fits].tolist()]
-        return out
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def result(found: list[tuple[int, int]]) -> pa.RecordBatch:
-            columns = list(zip(*found, strict=True)) or [[], []]
-            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], schema=PAIR)
-
-        group, found = [], []
-        for row in (r for part in common.slices(batches) for r in zip(*part, strict=True)):
-            if group and (row[0], row[3], row[4]) != (group[0][0], group[0][3], group[0][4]):
-                found += compare(group)
-                group = []
-                if len(found) > 10_000:
-                    yield result(found)
-                    found = []
-            group.append(row)
-        if group:
-            found += compare(group)
-        yield result(found)
-
-    columns = ["pivot", "cid", "label", "i", "j", "first", *FACTS]
-    ordered = rows.select(*columns).repartition("pivot", "i", "j").sortWithinPartitions("pivot", "i", "j")
-    return common.map_batches(ordered, run, "a long, b long")
-
-
 def buckets(df: DataFrame, key: str, text: str, threshold: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Written tables: rows (key, n, cid), profiles of the classes, and groups (pivot, cid).
 
@@ -410,7 +348,7 @@ def connected(
     """Written tables: rows (key, digest, n, cid) and links (a, b) that connect what is connected.
 
     For components only: of the links among classes already connected just some
-    are given.  ``join`` gives all.
+    are given, and of those that a tile finds a star.  ``join`` gives all.
     """
     docs, profiles, groups = buckets(df, key, text, threshold)
     with_pivot = groups.filter("cid != pivot").select(F.col("cid").alias("a"), F.col("pivot").alias("b"))
@@ -425,9 +363,9 @@ def connected(
         .select("pivot", "cid", F.coalesce("root_c", "cid").alias("label"), F.coalesce("root_p", "pivot").alias("_home"))
         .withColumn("home", F.col("label") == F.col("_home"))
     )
-    apart = tile_pairs(tile_rows(materialize(labelled.drop("_home"), "labelled"), profiles.select("cid", *FACTS), tile), threshold).distinct()
-    far = verified(materialize(apart, "apart"), df, text, threshold)
-    return docs.select(key, "digest", "n", "cid"), near.unionByName(far)
+    labelled = materialize(labelled.drop("_home"), "labelled")
+    far = compared(labelled, ["label"], groups, profiles, df, text, threshold, tile, stars, ["cid", "root", "n_links"])
+    return docs.select(key, "digest", "n", "cid"), near.union(far.select("cid", "root"))
 
 
 def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
@@ -483,10 +421,16 @@ Tile = dict[str, np.ndarray | list[np.ndarray]]
 
 
 def not_yet_met(a: Tile, b: Tile, same: bool, threshold: int) -> np.ndarray:
-    """Pairs of fitting sizes that no group of a smaller pivot has."""
+    """Pairs of fitting sizes that no group of a smaller pivot has; with labels, those that are apart.
+
+    Members with labels were all compared with their pivot before.
+    """
     fits = 100 * np.minimum.outer(a["n"], b["n"]) >= threshold * np.maximum.outer(a["n"], b["n"])
     if same:
         np.fill_diagonal(fits, False)
+    if "label" in a:
+        fits &= np.not_equal.outer(a["label"], b["label"])
+        fits &= np.logical_and.outer(a["cid"] != a["pivot"], b["cid"] != b["pivot"])
     if fits.any():
         fits &= overlaps(a["below"], b["below"]) == 0
     return fits
@@ -541,10 +485,11 @@ def roots_of(fits: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray
 
 
 def survivors(tile: Tile, a: Tile, b: Tile, fits: np.ndarray, same: bool) -> list[np.ndarray]:
-    """(pivot, i, j, first, cid) of the members that are in a pair."""
-    sides = [a["cid"][fits.any(1)], a["cid"][:0] if same else b["cid"][fits.any(0)]]
-    size = [len(x) for x in sides]
-    return [*[np.full(sum(size), v, np.int64) for v in tile], np.repeat([1, 0], size), np.concatenate(sides)]
+    """(pivot, i, j, first, cid) of the members that are in a pair, with labels these too."""
+    in_a, in_b = fits.any(1), fits.any(0) & (not same)
+    size = [int(in_a.sum()), int(in_b.sum())]
+    sides = [np.concatenate([a[n][in_a], b[n][in_b]]) for n in ("cid", "label") if n in a]
+    return [*[np.full(sum(size), v, np.int64) for v in tile], np.repeat([1, 0], size), *sides]
 
 
 def stars(tile: Tile, a: Tile, b: Tile, fits: np.ndarray, same: bool) -> list[np.ndarray]:
@@ -623,31 +568,45 @@ def by_tile(rows: DataFrame, columns: list[str], judge, report, names: list[str]
     return common.map_batches(ordered, run, ", ".join(f"{n} long" for n in names))
 
 
-def linked(
-    df: DataFrame, key: str, text: str, threshold: int, tile: int, report, names: list[str]
-) -> tuple[DataFrame, DataFrame]:
-    """Rows (key, n, cid), and what ``report`` makes of all links between classes.
+def compared(
+    groups: DataFrame,
+    labels: list[str],
+    met: DataFrame,
+    profiles: DataFrame,
+    df: DataFrame,
+    text: str,
+    threshold: int,
+    tile: int,
+    report,
+    names: list[str],
+) -> DataFrame:
+    """What ``report`` makes of the links in ``groups`` (as ``tile_rows`` takes them) within ``met`` (pivot, cid).
 
-    Every pair of a group is looked at: by the filters first, and those members
-    that have a pair left again with their whole sets.  A pair that meets in
-    several groups counts in that of the smallest pivot.
+    The tiles' pairs are looked at by the filters first, and those members that
+    have a pair left again with their whole sets.  A pair that meets in several
+    groups counts in that of the smallest pivot.  No pair is a row on its way.
     """
-    docs, profiles, groups = buckets(df, key, text, threshold)
-    pivots = groups.groupBy("cid").agg(F.collect_list("pivot").alias("pivots"))
-    pivots = materialize(pivots, "pivots")
-
+    pivots = materialize(met.groupBy("cid").agg(F.collect_list("pivot").alias("pivots")), "pivots")
     below = F.sort_array(F.filter("pivots", lambda p: p < F.col("pivot")))
 
-    all_apart = groups.withColumn("label", F.col("cid")).withColumn("home", F.lit(False))
     facts = profiles.select("cid", *FACTS).join(pivots.hint("shuffle_merge"), "cid")
-    rows = tile_rows(all_apart, facts, tile).withColumn("below", below).withColumnRenamed("shared", "tokens")
-    near = by_tile(rows, ["n", "low", "edge2", "edge3"], candidates_of, survivors, ["pivot", "i", "j", "first", "cid"], threshold)
-    near = materialize(near, "near")
+    rows = tile_rows(groups, facts, tile).withColumn("below", below).withColumnRenamed("shared", "tokens")
+    numbers, kept = [*labels, "n", "low", "edge2", "edge3"], ["pivot", "i", "j", "first", "cid", *labels]
+    near = materialize(by_tile(rows, numbers, candidates_of, survivors, kept, threshold), "near")
     sets = whole_sets(near.select("cid"), df, text).withColumn("n", F.expr("octet_length(tokens) div 8"))
     # Survivors once per tile: their sets and pivots come in one join.
     beside = sets.join(pivots.hint("shuffle_merge"), "cid")
     rows = near.join(beside.hint("shuffle_merge"), "cid").withColumn("below", below)
-    return docs.select(key, "n", "cid"), materialize(by_tile(rows, ["n"], links_of, report, names, threshold), "linked")
+    return materialize(by_tile(rows, [*labels, "n"], links_of, report, names, threshold), "linked")
+
+
+def linked(
+    df: DataFrame, key: str, text: str, threshold: int, tile: int, report, names: list[str]
+) -> tuple[DataFrame, DataFrame]:
+    """Rows (key, n, cid), and what ``report`` makes of all links between classes; every pair of a group is looked at."""
+    docs, profiles, groups = buckets(df, key, text, threshold)
+    all_apart = groups.withColumn("label", F.col("cid")).withColumn("home", F.lit(False))
+    return docs.select(key, "n", "cid"), compared(all_apart, [], groups, profiles, df, text, threshold, tile, report, names)
 
 
 def join(

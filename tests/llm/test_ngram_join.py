@@ -72,6 +72,24 @@ def test_one_large_group(spark):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in nj.near_duplicates(df, tile=50).collect()} == brute(rows)
 
 
+def test_no_table_of_pairs(spark, monkeypatch):
+    """Two groups that nearly link: what is written on the way grows with the rows, not with their pairs."""
+    base = [f"w{i}" for i in range(100)]
+    other = [f"v{i}" if i in (20, 45, 70) else w for i, w in enumerate(base)]
+    rows = [(i, " ".join([*(base if i % 2 else other), f"end{i}"])) for i in range(600)]
+    written = []
+
+    def recorded(df, name, plain=nj.materialize):
+        out = plain(df, name)
+        written.append((out.count(), name))
+        return out
+
+    monkeypatch.setattr(nj, "materialize", recorded)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in nj.near_duplicates(df).collect()} == brute(rows)
+    assert max(written)[0] < 40 * len(rows), max(written)
+
+
 def test_edge_rows(spark):
     long = " ".join(f"x{i % 7000}" for i in range(20_000))
     rows = [(5, "a b c d e f"), (5, "a b c d e f"), (3, "A  b c d e\tf"), (None, "a b c d e f"), (None, None), (9, None), (9, None), (4, ""), (8, long), (7, long + " end"), (None, "q r s")]
